@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tezgah.functions.literals import literal_rows
+
 _DICTIONARIES: dict[str, tuple[str, list[tuple]]] = {
     "d_currency": (
         "currency_code string, currency_name string, currency_symbol string, is_active boolean",
@@ -119,7 +121,7 @@ NAMES = tuple(_DICTIONARIES)
 def dictionary(spark: SparkSession, name: str) -> DataFrame:
     """One dictionary table, by name (``d_transaction_type``, ...)."""
     schema, rows = _DICTIONARIES[name]
-    return spark.createDataFrame(rows, schema)
+    return literal_rows(spark, rows, schema)
 
 
 def type_ids(flag: str | None = None, direction: str | None = None) -> list[int]:

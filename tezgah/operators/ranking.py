@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tezgah.functions.literals import literal_rows
 from tezgah.sources.shared import cut
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row number below
@@ -50,7 +51,8 @@ def _positions(df: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
         before = seen.get(piece["_group"], 0)
         offsets.append((piece["_part"], piece["_group"], before - piece["first"]))
         seen[piece["_group"]] = before + piece["n"]
-    shifts = df.sparkSession.createDataFrame(
+    shifts = literal_rows(
+        df.sparkSession,
         [(p, g, shift, seen[g]) for p, g, shift in offsets],
         "_part bigint, _group int, _shift bigint, _size bigint",
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tezgah.dictionaries import SALE
-from tezgah.functions.expressions import MONEY, UNKNOWN, date_key, half_up_int
+from tezgah.functions.expressions import MONEY, UNKNOWN, date_key, exact_sum, half_up_int
 from tezgah.operators.lookups import point_in_time
 from tezgah.schemas import shaped
 
@@ -47,9 +47,9 @@ def campaign_performance(
     group = ["campaign_sk", "store_id"]
 
     totals = attributed.groupBy(*group).agg(
-        F.sum("net_sales_amount").cast(MONEY).alias("total_sales_amount"),
-        F.sum("discount_amount").cast(MONEY).alias("total_discount_given"),
-        half_up_int(F.sum("quantity")).alias("total_units_sold"),
+        exact_sum("net_sales_amount").cast(MONEY).alias("total_sales_amount"),
+        exact_sum("discount_amount").cast(MONEY).alias("total_discount_given"),
+        half_up_int(exact_sum("quantity", 3)).alias("total_units_sold"),
         F.count_distinct("product_sk").alias("participating_sku_count"),
     )
 
@@ -82,7 +82,7 @@ def campaign_performance(
     ).select("campaign_sk", date_key("_day").alias("date_id"))
     baseline = (
         sold.groupBy("store_sk", "date_id")
-        .agg(F.sum("net_sales_amount").alias("_net"))
+        .agg(exact_sum("net_sales_amount").alias("_net"))
         .join(reference, "date_id")
         .join(sites, "store_sk")
         .groupBy(*group)

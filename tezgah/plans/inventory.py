@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tezgah.dictionaries import SALE, type_ids
+from tezgah.functions.expressions import date_key, major_units, minor_units
 from tezgah.operators.lookups import point_in_time
 from tezgah.schemas import shaped
 
@@ -48,9 +49,8 @@ def inventory_snapshot(
     days = sorted(days)
     kind, day = F.col("transaction_type_id"), F.col("transaction_datetime").cast("date")
     moving = sales.filter(kind.isin(type_ids("affects_inventory"))).filter(day <= F.lit(days[-1]))
-    moved = F.when(kind.isin(type_ids("affects_inventory", "-")), -F.col("quantity")).otherwise(
-        F.abs("quantity")
-    )
+    amount = minor_units("quantity", 3)
+    moved = F.when(kind.isin(type_ids("affects_inventory", "-")), -amount).otherwise(F.abs(amount))
     sums = []
     for i, at in enumerate(days):
         seen = day <= F.lit(at)
@@ -58,7 +58,7 @@ def inventory_snapshot(
         sums += [
             F.count(F.when(seen, 1)).alias(f"_lines{i}"),
             F.sum(F.when(seen, moved).otherwise(0)).alias(f"_moved{i}"),
-            F.sum(F.when(recent, F.col("quantity")).otherwise(0)).alias(f"_sold{i}"),
+            F.sum(F.when(recent, amount).otherwise(0)).alias(f"_sold{i}"),
             F.count(F.when(recent, 1)).alias(f"_sales{i}"),
         ]
     by_version = moving.groupBy("store_sk", "product_sk").agg(*sums)
@@ -86,7 +86,7 @@ def inventory_snapshot(
     )
     state = per_pair.select("store_id", "product_id", F.inline(states)).filter("_lines > 0")
     opening = default_opening() if opening is None else opening
-    state = state.withColumn("stock_qty", (opening + F.col("_moved")).cast("decimal(12,3)"))
+    state = state.withColumn("stock_qty", (opening + major_units("_moved", 3)).cast("decimal(12,3)"))
 
     valued = point_in_time(state, stores, "store_id", F.col("_at"), {"store_sk": "store_sk"}, "inner")
     valued = point_in_time(
@@ -94,10 +94,10 @@ def inventory_snapshot(
         {"product_sk": "product_sk", "cost_price": "_cost", "list_price": "_list"}, "inner",
     )
     stock, at = F.col("stock_qty"), F.col("_at")
-    sold = F.col("_sold").cast("decimal(12,3)")
+    sold = major_units("_sold", 3).cast("decimal(12,3)")
     valued = valued.withColumns(
         {
-            "date_id": (F.year(at) * 10000 + F.month(at) * 100 + F.dayofmonth(at)).cast("int"),
+            "date_id": date_key(at),
             "stock_value_cost": (stock * F.col("_cost")).cast("decimal(14,2)"),
             "stock_value_retail": (stock * F.col("_list")).cast("decimal(14,2)"),
             "min_stock_level": F.lit(min_level),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tezgah import dictionaries
 from tezgah.functions.calendar import date_range, dim_date
 from tezgah.functions.expressions import UNKNOWN
+from tezgah.functions.literals import literal_rows
 from tezgah.operators.dedupe import insert_skip_conflicts
 from tezgah.operators.scd import CUSTOMER, EMPLOYEE, PRODUCT, STORE, Parent, ScdSpec, scd1_upsert, scd2_apply
 from tezgah.plans.batches import BatchLog
@@ -67,7 +68,7 @@ class Jobs:
         }
         for table, (columns, row) in seeds.items():
             if not self.wh.exists(table):
-                seed = self.spark.createDataFrame([row], columns)
+                seed = literal_rows(self.spark, [row], columns)
                 stamps = {"created_at": F.localtimestamp(), "updated_at": F.localtimestamp()}
                 self.wh.replace(table, shaped(seed.withColumns(stamps), table))
 

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tezgah.dictionaries import RETURN, SALE, SHRINKAGE, type_ids
-from tezgah.functions.expressions import MONEY, UNKNOWN, guarded_ratio, half_up_int, stored_ratio
+from tezgah.functions.expressions import (
+    MONEY, UNKNOWN, exact_sum, guarded_ratio, half_up_int, major_units, minor_units, stored_ratio,
+)
 from tezgah.schemas import shaped
 
 KPI = "fact.daily_store_kpi"
@@ -46,24 +48,34 @@ def daily_store_kpi(
     outgoing = kind.isin(type_ids(direction="-"))
     known = sales.filter(kind.isin(type_ids()))  # the inner join with the type dictionary
 
-    def when_out(c: str) -> Column:
-        return F.sum(F.when(outgoing, F.col(c)).otherwise(0))
+    def units_if(condition: Column, c: str | Column, digits: int = 2) -> Column:
+        return F.sum(F.when(condition, minor_units(c, digits)).otherwise(0))
 
+    amounts = {
+        "gross_sales": units_if(outgoing, "gross_sales_amount"),
+        "discount_amount": units_if(outgoing, "discount_amount"),
+        "net_sales": units_if(outgoing, "net_sales_amount"),
+        "cogs": units_if(outgoing, "cogs_amount"),
+        "gross_margin": units_if(outgoing, "gross_margin_amount"),
+        "vat_collected": units_if(F.col("vat_amount").isNotNull(), "vat_amount"),
+        "return_amount": units_if(kind == RETURN, F.abs("net_sales_amount")),
+    }
+    volumes = {
+        "units_sold": units_if(kind == SALE, "quantity", 3),
+        "units_returned": units_if(kind == RETURN, "quantity", 3),
+    }
+    receipts = {
+        "transaction_count": F.max(F.when(kind == SALE, 1).otherwise(0)),
+        "return_transaction_count": F.max(F.when(kind == RETURN, 1).otherwise(0)),
+    }
     per_receipt = known.groupBy(*day, "transaction_id").agg(
-        when_out("gross_sales_amount").alias("gross_sales"),
-        when_out("discount_amount").alias("discount_amount"),
-        when_out("net_sales_amount").alias("net_sales"),
-        when_out("cogs_amount").alias("cogs"),
-        when_out("gross_margin_amount").alias("gross_margin"),
-        F.sum(F.coalesce("vat_amount", F.lit(0))).alias("vat_collected"),
-        F.sum(F.when(kind == RETURN, F.abs("net_sales_amount")).otherwise(0)).alias("return_amount"),
-        F.sum(F.when(kind == SALE, F.col("quantity")).otherwise(0)).alias("units_sold"),
-        F.sum(F.when(kind == RETURN, F.col("quantity")).otherwise(0)).alias("units_returned"),
-        F.max(F.when(kind == SALE, 1).otherwise(0)).alias("transaction_count"),
-        F.max(F.when(kind == RETURN, 1).otherwise(0)).alias("return_transaction_count"),
+        *[value.alias(name) for name, value in (amounts | volumes | receipts).items()]
+    )
+    totals = per_receipt.groupBy(*day).agg(
+        *[major_units(F.sum(c)).alias(c) for c in amounts],
+        *[major_units(F.sum(c), 3).alias(c) for c in volumes],
+        *[F.sum(c).alias(c) for c in receipts],
     )
-    sums = [c for c in per_receipt.columns if c not in (*day, "transaction_id")]
-    totals = per_receipt.groupBy(*day).agg(*[F.sum(c).alias(c) for c in sums])
 
     enrolled = customers.filter("loyalty_enrolled").select(F.col("customer_sk").alias("_sk"))
     visitors = known.filter(F.col("customer_sk") != UNKNOWN).select(*day, "customer_sk").distinct()
@@ -78,12 +90,12 @@ def daily_store_kpi(
     else:
         rows = rows.join(targets.select(*day, "sales_target"), day, "left")
 
-    net, receipts = F.col("net_sales"), F.col("transaction_count")
+    net, count = F.col("net_sales"), F.col("transaction_count")
     rows = rows.withColumns(
         {
             "kpi_sk": F.xxhash64(*day),
-            "avg_basket_size": stored_ratio(net, receipts, "decimal(12,2)"),
-            "avg_basket_items": stored_ratio(F.col("units_sold"), receipts, "decimal(8,2)"),
+            "avg_basket_size": stored_ratio(net, count, "decimal(12,2)"),
+            "avg_basket_items": stored_ratio(F.col("units_sold"), count, "decimal(8,2)"),
             "gross_margin_pct": stored_ratio(F.col("gross_margin"), net, PCT, per=100),
             "return_rate_pct": stored_ratio(F.col("return_amount"), net, PCT, per=100),
             "sales_vs_target_pct": stored_ratio(net, F.col("sales_target"), PCT, per=100, otherwise=None),
@@ -209,8 +221,8 @@ def kpi_inventory(
         .agg(
             F.count("*").alias("skus"),
             F.sum(F.col("is_stockout").cast("int")).alias("stockouts"),
-            F.sum("stock_value_cost").alias("stock_value"),
-            F.sum("stock_qty").alias("stock_qty"),
+            exact_sum("stock_value_cost").alias("stock_value"),
+            exact_sum("stock_qty", 3).alias("stock_qty"),
         )
         .join(sites, "store_sk")
         .groupBy("date_id", "store_id")
@@ -221,8 +233,8 @@ def kpi_inventory(
         sales.filter(kind.isin(SALE, SHRINKAGE))
         .groupBy(F.col("date_id").alias("sold_on"), "store_sk")
         .agg(
-            F.sum(F.when(kind == SALE, F.col("cogs_amount")).otherwise(0)).alias("cogs"),
-            F.sum(F.when(kind == SHRINKAGE, F.col("quantity")).otherwise(0)).alias("shrinkage"),
+            exact_sum(F.when(kind == SALE, F.col("cogs_amount")).otherwise(0)).alias("cogs"),
+            exact_sum(F.when(kind == SHRINKAGE, F.col("quantity")).otherwise(0), 3).alias("shrinkage"),
         )
     )
     taken = snapshot.select("date_id").distinct().join(calendar.select("date_id", "full_date"), "date_id")

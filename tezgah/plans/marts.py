@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tezgah.dictionaries import SALE, dictionary, type_ids
-from tezgah.functions.expressions import UNKNOWN, guarded_ratio, half_up_int, ntz
+from tezgah.functions.expressions import UNKNOWN, exact_sum, guarded_ratio, half_up_int, ntz
 from tezgah.operators.lookups import with_member
 from tezgah.operators.ranking import Score, ntiles
 from tezgah.sources.shared import cut
@@ -269,7 +269,7 @@ def category_performance(
     totals = lines.groupBy(*group).agg(
         F.count_distinct("transaction_id").alias("islem_sayisi"),
         F.count_distinct("product_sk").alias("urun_cesidi"),
-        *[F.sum(c).alias(n) for c, n in measures.items()],
+        *[exact_sum(c, 3 if c == "quantity" else 2).alias(n) for c, n in measures.items()],
     )
     months = calendar.select(*month).distinct()
     named = totals.join(F.broadcast(months), ["year_number", "month_number"]).join(shared, "_kind")
@@ -297,7 +297,7 @@ def rfm_base(sales: DataFrame, customers: DataFrame, as_of: date) -> DataFrame:
     per_customer = bought.groupBy("customer_sk").agg(
         F.max("date_id").alias("_last"),
         F.count_distinct("transaction_id").alias("alisveris_sayisi"),
-        F.sum("net_sales_amount").alias("toplam_harcama"),
+        exact_sum("net_sales_amount").alias("toplam_harcama"),
     )
     last = F.to_date(F.col("_last").cast("string"), "yyyyMMdd")
     attributes = customers.select(

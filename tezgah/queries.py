@@ -64,7 +64,7 @@ def boundary(df: DataFrame) -> DataFrame:
 def src_csv_roundtrip(m: DemoModel) -> DataFrame:
     """Staged sales out to CSV and back under the declared schema."""
     path = scratch_path(m.spark, "csv")
-    write_csv(m.stg_sales, path)
+    write_csv(m.stg_sales, path, "stg_sales_transaction")
     return read_csv(m.spark, path, "stg_sales_transaction")
 
 
@@ -87,8 +87,8 @@ def src_manifest(m: DemoModel) -> DataFrame:
     files = {}
     for name, frame in {"stg_store": m.stg_store(), "stg_sales_transaction": m.stg_sales}.items():
         path = scratch_path(m.spark, name)
-        write_csv(frame, path)
-        files[name] = m.spark.read.schema(frame.schema).option("header", True).csv(path)
+        write_csv(frame, path, name)
+        files[name] = m.spark.read.option("header", True).csv(path)
     return manifest(files)
 
 

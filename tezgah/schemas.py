@@ -11,7 +11,6 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _COLUMN = re.compile(r"(\w+)\s+([a-z_]+(?:\([\d,]+\))?)(!?)$")
@@ -508,9 +507,10 @@ STAGING: dict[str, str] = {
 
 def shaped(df: DataFrame, table: str) -> DataFrame:
     """The frame with exactly the table's columns and types; missing ones NULL."""
-    return df.select(
+    present = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in TABLES[table].schema
         ]
     )

@@ -26,8 +26,10 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("nullValue", "").csv(path)
+def write_csv(df: DataFrame, path: str, table: str) -> None:
+    """Writes the columns the staging file declares, in its order."""
+    names = [field.split()[0] for field in STAGING[table].split(", ")]
+    df.select(*[c for c in names if c in df.columns]).write.option("header", True).option("nullValue", "").csv(path)
 
 
 def manifest(files: Mapping[str, DataFrame]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tezgah import dictionaries
 from tezgah.functions.calendar import date_range, dim_date
 from tezgah.functions.expressions import UNKNOWN, attribute_hash, date_key
+from tezgah.functions.literals import literal_rows
 from tezgah.operators.scd import CUSTOMER, EMPLOYEE, PRODUCT, STORE
 from tezgah.plans.kpi import KPI
 from tezgah.plans.sales import SALES, SalesLoad, incremental_sales
@@ -122,8 +123,8 @@ class DemoModel:
              date(1995 + i, 6, 1), date(1995 + i, 8, 31))
             for i in range(1, 5)
         ]
-        frame = self.spark.createDataFrame(
-            rows,
+        frame = literal_rows(
+            self.spark, rows,
             "campaign_sk bigint, campaign_id bigint, campaign_code string, campaign_name string, "
             "campaign_type string, channel string, start_date date, end_date date",
         )
@@ -213,8 +214,8 @@ class DemoModel:
                 "scd_version": F.lit(1),
             }
         )
-        unknown = self.spark.createDataFrame(
-            [(UNKNOWN, UNKNOWN, "Anonim", "U", False, date(2000, 1, 1), True, 1)],
+        unknown = literal_rows(
+            self.spark, [(UNKNOWN, UNKNOWN, "Anonim", "U", False, date(2000, 1, 1), True, 1)],
             "customer_sk bigint, customer_id bigint, customer_segment string, gender string, "
             "loyalty_enrolled boolean, scd_start_date date, is_current boolean, scd_version int",
         )
