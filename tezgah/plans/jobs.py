@@ -107,6 +107,7 @@ class Jobs:
                 table, key, sk = _PARENTS[spec.table]
                 parent = Parent(self.wh.read(table), key, sk)
             target = self.wh.read(spec.table)
+            staged = _tracked(staged, spec)
             change = scd2_apply(target, staged, spec, effective or date.today(), parent, hash_null)
             self.wh.replace(spec.table, change.rows)
             batch.count(
@@ -248,7 +249,7 @@ class Jobs:
         for spec, name in ((STORE, "stg_store"), (PRODUCT, "stg_product"), (CUSTOMER, "stg_customer"),
                            (EMPLOYEE, "stg_employee")):
             if name in staging:
-                self.scd2(spec, _tracked(staging[name], spec), effective)
+                self.scd2(spec, staging[name], effective)
         if "stg_campaign" in staging:
             self.scd1("dim.campaign", staging["stg_campaign"], "campaign_id", {"is_active": F.lit(True)})
         if "stg_sales_transaction" in staging:
