@@ -9,6 +9,7 @@ from tezgah.functions.literals import literal_rows
 from tezgah.plans.batches import FIRST_WATERMARK, latest_state
 from tezgah.plans.jobs import Jobs
 from tezgah.plans.kpi import KPI, daily_store_kpi, pos_daily_kpi
+from tezgah.plans.publish import export, register_views, report_views
 from tezgah.plans.sales import SALES
 from tezgah.schemas import STAGING, shaped
 from tezgah.sources.csv_files import read_csv, write_csv
@@ -92,6 +93,18 @@ def test_nightly_run(spark, jobs):
     assert stock == {20240115: D("37.000"), 20240116: D("37.000")}
     jobs.refresh_campaign_performance()
     assert jobs.wh.read("fact.campaign_performance").count() == 0
+    views = report_views(jobs.wh, date(2024, 2, 1), "2024-02-01 00:00:00")
+    register_views(views)
+    folder = scratch_path(spark, "export")
+    export(views, folder)
+    widths = {"v_sales_daily": 52, "v_store_kpi_monthly": 30, "v_inventory_alert": 20, "v_category_performance": 23,
+              "v_customer_rfm": 15, "v_etl_monitor": 17}
+    for name, width in widths.items():
+        frame = spark.read.parquet(f"{folder}/{name}")
+        assert len(frame.columns) == width
+        assert frame.count() == spark.sql(f"SELECT * FROM mart_{name}").count()
+    # the sale bound to the closed store version is not shown
+    assert spark.sql("SELECT transaction_id FROM mart_v_sales_daily ORDER BY 1").collect() == [(2,), (3,)]
 
 
 def test_a_failure_is_logged_and_raised(spark, jobs):

@@ -69,8 +69,11 @@ def current_key(
     """
     if "is_current" in dimension.columns:
         dimension = dimension.filter("is_current")
-    side = dimension.filter(F.col(key) != UNKNOWN).select(
-        F.col(key).cast("bigint").alias("_key"), F.col(sk).alias("_found")
+    # One row per business key, so that a doubled dimension row cannot double facts.
+    side = (
+        dimension.filter(F.col(key) != UNKNOWN)
+        .groupBy(F.col(key).cast("bigint").alias("_key"))
+        .agg(F.min(sk).alias("_found"))
     )
     joined = facts.withColumn("_lookup", _spread(key, spread_on)).join(
         side, F.col("_lookup") == F.col("_key"), "left"

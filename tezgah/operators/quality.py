@@ -104,7 +104,8 @@ def scd2(frames: Frames) -> DataFrame:
     """Versioned dimensions: one current row per key, versions 1..n, no overlap.
 
     A version meets its successor by an equality join on (key, version + 1),
-    so the versions of one key need not sit in one task.
+    so the versions of one key need not sit in one task. Copies of a version
+    fold to its widest span before that and cannot multiply.
     """
     parts = []
     for name, df in frames.items():
@@ -122,9 +123,11 @@ def scd2(frames: Frames) -> DataFrame:
         parts.append(
             _one_pass(per_key, name, {"one_current": F.col("_current") != 1, "version_gaps": gaps})
         )
-        end = F.coalesce("scd_end_date", F.lit(OPEN_END))
-        earlier = df.select(key, (F.col("scd_version") + 1).alias("_version"), end.alias("_end"))
-        later = df.select(key, F.col("scd_version").alias("_version"), "scd_start_date")
-        pairs = earlier.join(later, [key, "_version"])
-        parts.append(_one_pass(pairs, name, {"overlap": F.col("_end") >= F.col("scd_start_date")}))
+        spans = df.groupBy(key, F.col("scd_version").alias("_version")).agg(
+            F.max(F.coalesce("scd_end_date", F.lit(OPEN_END))).alias("_end"),
+            F.min("scd_start_date").alias("_start"),
+        )
+        earlier = spans.select(key, (F.col("_version") + 1).alias("_version"), "_end")
+        pairs = earlier.join(spans.select(key, "_version", "_start"), [key, "_version"])
+        parts.append(_one_pass(pairs, name, {"overlap": F.col("_end") >= F.col("_start")}))
     return _union(parts)

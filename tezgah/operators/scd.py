@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tezgah.functions.expressions import attribute_hash
 from tezgah.operators.ranking import global_row_number
+from tezgah.sources.shared import cut
 
 
 @dataclass(frozen=True)
@@ -127,7 +128,8 @@ def scd2_apply(
     """
     require_unique(staged, spec.key)
     now = F.localtimestamp() if now is None else now
-    acting = classify(target, staged, spec, hash_null).filter("scd_action <> 'same'")
+    # Only what changes goes on; it is read several times below, the staged rows once.
+    acting = cut(classify(target, staged, spec, hash_null).filter("scd_action <> 'same'"))
 
     opened = acting
     if parent is not None:

@@ -90,7 +90,7 @@ def incremental_sales(
     accepted = accepted.withColumns(
         {"date_id": date_key("transaction_datetime"), "source_system": F.lit("POS")}
     )
-    # The narrow staged keys are deduplicated before three more keys are added.
+    # Lookups below give one key per line, so copies can go before them.
     fresh = insert_skip_conflicts(existing, accepted, SALES_KEY, FIRST_COPY)
     fresh = current_key(fresh, customers, "customer_id", "customer_sk", LINE, default=UNKNOWN)
     fresh = current_key(fresh, employees, "employee_id", "employee_sk", LINE)
