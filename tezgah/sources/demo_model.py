@@ -22,7 +22,7 @@ from tezgah.operators.scd import CUSTOMER, EMPLOYEE, PRODUCT, STORE
 from tezgah.plans.kpi import KPI
 from tezgah.plans.sales import SALES, SalesLoad, incremental_sales
 from tezgah.schemas import shaped
-from tezgah.sources.shared import stored
+from tezgah.sources.shared import spread, stored
 
 OPENING = date(1990, 1, 1)
 CHANGE = date(1998, 7, 1)  # the day second versions start
@@ -256,7 +256,7 @@ class DemoModel:
     @cached_property
     def stg_sales(self) -> DataFrame:
         """Receipt lines as the tills deliver them, with repeats and unknown keys."""
-        line, orders, part = self.source("lineitem"), self.source("orders"), self.source("part")
+        line, orders, part = spread(self.source("lineitem")), self.source("orders"), self.source("part")
         joined = line.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
             part.select("p_partkey", "p_retailprice"), F.col("l_partkey") == F.col("p_partkey")
         )
