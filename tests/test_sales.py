@@ -90,14 +90,12 @@ def test_bulk_load_binds_to_current_versions(spark):
 def test_skewed_copies_and_hot_keys_lose_nothing(spark):
     """A third of the lines copy one line, a third are anonymous, all are one store's."""
     n = 3000
-    base = staged(spark, [{}]).drop("transaction_id", "customer_id")
-    lines = spark.range(n).join(base, F.lit(True))  # one row on the right
-    lines = lines.withColumns(
-        {
-            "transaction_id": F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")),
-            "customer_id": F.when(F.col("id") % 3 == 1, -1).otherwise(5).cast("bigint"),
-        }
-    ).drop("id")
+    one = staged(spark, [{}])
+    values = {f.name: F.lit(one.first()[f.name]).cast(f.dataType) for f in one.schema}
+    copied, anonymous = F.col("id") % 3 == 0, F.col("id") % 3 == 1
+    values["transaction_id"] = F.when(copied, 0).otherwise(F.col("id"))
+    values["customer_id"] = F.when(anonymous, -1).otherwise(5).cast("bigint")
+    lines = spark.range(n).select(*[value.alias(name) for name, value in values.items()])
     got = incremental_sales(
         lines, stores(spark, ONE_STORE), products(spark, ONE_PRODUCT), customers(spark, [5]), employees(spark),
         campaigns(spark), watermark_from=FROM, watermark_to=TO,
