@@ -5,9 +5,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tezgah.operators.lookups import _spread, point_in_time
 from tezgah.plans.kpi import daily_store_kpi
-from tezgah.plans.sales import SALES
 from tezgah.plans.marts import category_performance, customer_rfm
+from tezgah.plans.sales import SALES
 from tezgah.sources.demo_model import AS_OF, DemoModel
 from tezgah.sources.warehouse import Warehouse
 
@@ -59,8 +60,6 @@ def test_category_report_shuffles_keys_and_not_text(model, warehouse):
 
 def test_unknown_customers_are_spread_in_a_shuffled_join(spark, model):
     """With broadcasts off, no partition of the customer join holds the anonymous third."""
-    from tezgah.operators.lookups import _spread
-
     lines = spark.range(30000).select(
         F.col("id").alias("transaction_id"), F.lit(1).alias("line_number"),
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("customer_id"),
@@ -73,3 +72,60 @@ def test_unknown_customers_are_spread_in_a_shuffled_join(spark, model):
 def test_staged_filters_reach_the_scan(model):
     text = plan(model.sales)
     assert "GreaterThan(l_shipdate,1990-01-01" in text and "l_linestatus" not in text
+
+
+SHUFFLED = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+}
+
+
+def test_results_hold_with_shuffled_joins_and_skew_splitting(spark):
+    """The joins a large cluster would run: nothing broadcast by size, hot partitions split."""
+    from tezgah.queries import QUERIES
+
+    names = ("etl_incremental_sales", "mart_sales_daily")
+    usual = {name: sorted(map(str, QUERIES[name](spark, FOLDER).collect())) for name in names}
+    before = {key: spark.conf.get(key, None) for key in SHUFFLED}
+    try:
+        for key, value in SHUFFLED.items():
+            spark.conf.set(key, value)
+        for name in names:
+            frame = QUERIES[name](spark, FOLDER)
+            assert sorted(map(str, frame.collect())) == usual[name]
+            text = plan(frame)
+            assert "SortMergeJoin" in text and "CartesianProduct" not in text
+    finally:
+        _restore(spark, before)
+
+
+def _restore(spark, settings):
+    for key, value in settings.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_hot_store_is_split_in_the_version_join(spark):
+    """A third of the lines are one store's: adaptive execution splits its partition."""
+    lines = spark.range(0, 60000, 1, 8).select(
+        F.col("id").alias("line"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("store_id"),
+        F.lit(date(2024, 1, 15)).alias("day"),
+        F.repeat(F.lit("x"), 50).alias("payload"),
+    )
+    versions = spark.range(1000).select(
+        F.col("id").alias("store_id"), (F.col("id") + 5000).alias("store_sk"),
+        F.lit(date(2020, 1, 1)).alias("scd_start_date"), F.lit(None).cast("date").alias("scd_end_date"),
+    )
+    before = {key: spark.conf.get(key, None) for key in SHUFFLED}
+    try:
+        for key, value in SHUFFLED.items():
+            spark.conf.set(key, value)
+        joined = point_in_time(lines, versions, "store_id", F.col("day"), {"store_sk": "store_sk"})
+        rows = joined.collect()
+        assert len(rows) == 60000 and all(r["store_sk"] == r["store_id"] + 5000 for r in rows)
+        assert "skew=true" in plan(joined)
+    finally:
+        _restore(spark, before)
