@@ -49,7 +49,7 @@ PATTERNS = [
     ("hex", None, re.compile(r"(?<![0-9A-Za-z])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![0-9A-Za-z])")),
     ("iban", None, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("ip", ".", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\w|\.\w)")),
-    ("card", None, re.compile(r"(?<![\w.])(?:[3-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7})(?![\w]|\.[0-9])")),
+    ("card", None, re.compile(r"(?<![\w.])(?:[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7})(?![\w]|\.[0-9])")),
     ("ssn", "-", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
     ("phone", None, re.compile(r"(?<![\w+.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![\w-]|\.[0-9])")),
     ("name", None, re.compile(rf"(?<!\w)({'|'.join(map(re.escape, (*MALE, *FEMALE, *NEUTRAL)))})\.? ((?:{_NAME})(?: (?:{_NAME}))?)")),
@@ -92,7 +92,7 @@ def mentions_of(text: str | None) -> list[tuple[str, str, int, int]]:
                 continue
             a, b = m.span(m.lastindex or 0)
             entity = re.sub(r"[^0-9]", "", text[a:b]) if kind in _BY_DIGITS else text[a:b].lower() if kind == "email" else text[a:b].replace(" ", "") if kind == "iban" else text[a:b]
-            if kind == "card" and len(entity) < 13 or kind == "phone" and not 7 <= len(entity) <= 15:
+            if kind == "card" and (len(entity) < 13 or _luhn(entity)) or kind == "phone" and not 7 <= len(entity) <= 15:
                 continue
             found.append((kind, entity, a, b))
     taken: list[tuple[str, str, int, int]] = []

@@ -1,7 +1,7 @@
 """Toxicity by bags of subword embeddings under a linear softmax, trained in numpy.
 
 A word is the mean of the vectors of its character n-grams, a document the mean
-of its words, and two classes are told apart by a softmax over that. Vectors
+of its different words, and two classes are told apart by a softmax over that. Vectors
 and softmax are trained together. Misspelt and unseen words get their vectors
 from the n-grams that they share with words seen in training.
 """
@@ -15,16 +15,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled rows that the model is fitted on at most, of each class; those of the least hash are taken.
-ROWS_PER_CLASS = 2_000
+#: Labelled rows that the model is fitted on at most, toxic and not; those of the least hash are taken.
+TOXIC_ROWS, OTHER_ROWS = 2_000, 6_000
 BUCKETS = 1 << 17
 DIM = 8
 LENGTHS = (3, 4, 5)
 EPOCHS = 10
 BATCH = 64
 RATE = 0.05
+DECAY = 1e-5
+#: Added to the root in an Adam step, so that what few texts have moves little.
+SOFTENING = 1e-3
 #: The mean of a text's words is multiplied by this, so that few words in a long text can turn the verdict.
-GAIN = 30.0
+GAIN = 60.0
+#: Words without a vector that every text has besides its own, so that a short text's mean stays small.
+SILENT_WORDS = 20
 SEED = 7
 THRESHOLD = 0.7
 
@@ -64,10 +69,10 @@ def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     words = words_of(text)
     if not words:
         return np.empty(0, np.int32), np.empty(0, np.float32)
-    different, counts = np.unique(np.array(words, object), return_counts=True)
-    grams, owner = grams_of(list(different))
+    different = sorted(set(words))
+    grams, owner = grams_of(different)
     per_word = np.bincount(owner, minlength=len(different))
-    weight = (counts / np.maximum(per_word, 1))[owner] / len(words)
+    weight = (1 / np.maximum(per_word, 1))[owner] / (len(different) + SILENT_WORDS)
     buckets, at = np.unique(grams, return_inverse=True)
     return buckets, np.bincount(at, weight).astype(np.float32)
 
@@ -79,31 +84,31 @@ class Model:
         self.odds, self.bias = odds, bias
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
-        cut = [words_of(t) for t in texts]
+        cut = [set(words_of(t)) for t in texts]
         different = {w: k for k, w in enumerate(set().union(*cut))}
         grams, owner = grams_of(list(different), len(self.odds))
         per_word = np.bincount(owner, minlength=len(different))
         of_word = np.bincount(owner, self.odds[grams], minlength=len(different)) / np.maximum(per_word, 1)
         number = different.__getitem__
-        means = [float(of_word[np.fromiter(map(number, w), np.int64, len(w))].mean()) if w else 0.0 for w in cut]
+        means = [float(of_word[np.sort(np.fromiter(map(number, w), np.int64, len(w)))].sum()) / (len(w) + SILENT_WORDS) for w in cut]
         return 1 / (1 + np.exp(-np.clip(GAIN * np.array(means, np.float64) + self.bias, -700, 700)))
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS, epochs: int = EPOCHS, seed: int = SEED) -> Model:
     """Trains vectors and softmax on ``(buckets, weights, label)`` of each text by Adam steps over small batches."""
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (buckets, DIM)).astype(np.float32)
+    vectors = np.zeros((buckets, DIM), np.float32)  # an n-gram never trained says nothing
     softmax = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     state = {k: [np.zeros_like(p), np.zeros_like(p)] for k, p in (("v", vectors), ("s", softmax), ("b", bias))}
     labels = np.array([r[2] for r in rows])
     step = 0
 
-    def adam(param: np.ndarray, grad: np.ndarray, key: str, at=slice(None)) -> None:
+    def adam(param: np.ndarray, grad: np.ndarray, key: str, at=slice(None), softening: float = 1e-6) -> None:
         m, v = state[key]
         m[at] = 0.9 * m[at] + 0.1 * grad
         v[at] = 0.99 * v[at] + 0.01 * grad * grad
-        param[at] -= RATE * (m[at] / (1 - 0.9**step)) / (np.sqrt(v[at] / (1 - 0.99**step)) + 1e-6)
+        param[at] -= RATE * (m[at] / (1 - 0.9**step)) / (np.sqrt(v[at] / (1 - 0.99**step)) + softening)
 
     for _ in range(epochs if len(set(labels.tolist())) == 2 else 0):
         order = rng.permutation(len(rows))
@@ -123,10 +128,10 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS,
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(part)), labels[part]] -= 1
             p /= len(part)
-            down = mixed.T @ (p @ softmax.T)
+            down = mixed.T @ (p @ softmax.T) + DECAY * vectors[used]
             adam(softmax, mean.T @ p, "s")
             adam(bias, p.sum(axis=0), "b")
-            adam(vectors, down, "v", used)
+            adam(vectors, down, "v", used, SOFTENING)
     return Model((vectors @ (softmax[:, 1] - softmax[:, 0])).astype(np.float64), float(bias[1] - bias[0]))
 
 
@@ -143,7 +148,7 @@ def _sampled(texts: DataFrame) -> list[tuple[np.ndarray, np.ndarray, int]]:
     return [(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.weights, "<f4"), r.toxic) for r in rows.collect()]
 
 
-def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS) -> Model:
     """A model from the labelled rows that may be learned from.
 
     ``labels`` has ``doc_id`` and ``toxic``; other labels than 0 and 1 teach
@@ -152,8 +157,8 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLA
     model that scores every text 0.5.
     """
     usable = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    ids = [usable.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class) for k in (0, 1)]
-    taken = F.broadcast(ids[0].union(ids[1]))  # twice rows_per_class at most
+    ids = [usable.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((0, other_rows), (1, toxic_rows))]
+    taken = F.broadcast(ids[0].union(ids[1]))  # as many rows as the two bounds at most
     rows = _sampled(docs.select("doc_id", "text").join(taken, "doc_id"))
     return fit(sorted(rows, key=lambda r: (r[2], r[0].tobytes(), r[1].tobytes())))
 
