@@ -31,6 +31,8 @@ GAIN = 60.0
 #: Words without a vector that every text has besides its own, so that a short text's mean stays small.
 SILENT_WORDS = 20
 SEED = 7
+#: Texts scored at a time.
+TEXTS = 1_000
 THRESHOLD = 0.7
 
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -84,6 +86,10 @@ class Model:
         self.odds, self.bias = odds, bias
 
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
+        parts = [self._scores(texts[at : at + TEXTS]) for at in range(0, len(texts), TEXTS)]
+        return np.concatenate(parts) if parts else np.empty(0)
+
+    def _scores(self, texts: list[bytes | None]) -> np.ndarray:
         cut = [set(words_of(t)) for t in texts]
         different = {w: k for k, w in enumerate(set().union(*cut))}
         grams, owner = grams_of(list(different), len(self.odds))
