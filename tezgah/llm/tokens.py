@@ -2,19 +2,21 @@
 
 Both tokenizers cut a text at white space before anything else, so a text's ids
 are the ids of its pieces in order. A worker encodes each different piece of a
-batch once, many at a time with a special token between them, and keeps them
-for later batches up to ``KEPT`` pieces.
+group of texts once, many at a time with a special token between them, and keeps
+those of two generations of up to ``KEPT`` pieces for later ones.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-#: Pieces a worker keeps. When they are reached it starts again with none.
-KEPT = 1_000_000
+#: Pieces in a generation. At the next one the younger becomes the older, and what of it is used again moves up.
+KEPT = 300_000
+#: Characters of text cut into pieces at a time.
+CUT = 2_000_000
 #: Pieces encoded in one string.
 JOINED = 512
 
@@ -34,22 +36,26 @@ class Encoder:
     def __init__(self, path: str, pieces: re.Pattern, dtype: str) -> None:
         from tokenizers import Tokenizer
 
-        self.pieces, self.dtype, self.kept = pieces, dtype, {}
+        self.pieces, self.dtype, self.kept, self.older = pieces, dtype, {}, {}
         self.joined, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
         special = {i: t for i, t in self.joined.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip)}
         self.stop = max(special)
         self.mark, self.marks = special[self.stop].content, [t.content for t in self.joined.get_added_tokens_decoder().values()]
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.kept) + len(new) > KEPT:
-            self.kept.clear()
-        odd = [p for p in new if any(m in p for m in self.marks)]
-        for p in odd:
-            self.kept[p] = np.array(self.plain.encode(p, add_special_tokens=False).ids, self.dtype).tobytes()
-        usual = [p for p in new if p not in self.kept] if odd else new
-        for at in range(0, len(usual), JOINED):
-            part = usual[at : at + JOINED]
+    def _learn(self, wanted: set[str]) -> None:
+        if len(self.kept) + len(wanted - self.kept.keys()) > KEPT:
+            self.older, self.kept = self.kept, {}
+        new = []
+        for p in wanted - self.kept.keys():
+            if p in self.older:
+                self.kept[p] = self.older[p]
+            elif any(m in p for m in self.marks):
+                self.kept[p] = np.array(self.plain.encode(p, add_special_tokens=False).ids, self.dtype).tobytes()
+            else:
+                new.append(p)
+        for at in range(0, len(new), JOINED):
+            part = new[at : at + JOINED]
             ids = np.array(self.joined.encode_batch_fast([self.mark.join(part)], add_special_tokens=False)[0].ids, self.dtype)
             ends = np.r_[np.flatnonzero(ids == self.stop), len(ids)].tolist()
             start, width, raw = 0, ids.itemsize, ids.tobytes()
@@ -57,13 +63,19 @@ class Encoder:
                 self.kept[p] = raw[start * width : end * width]
                 start = end + 1
 
-    def encode(self, texts: Iterable[str | None]) -> list[bytes]:
-        cut = [self.pieces.findall(t or "") for t in texts]
-        need = set().union(*cut)
-        new = need - self.kept.keys()
-        if len(self.kept) + len(new) > KEPT:
-            new = need
-        self._learn(list(new))
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        group, size = [], 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size >= CUT:
+                yield from self._encode(group)
+                group, size = [], 0
+        yield from self._encode(group)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        cut = [self.pieces.findall(t) for t in texts]
+        self._learn(set().union(*cut))
         of = self.kept.__getitem__
         return [b"".join(map(of, p)) for p in cut]
 
