@@ -23,9 +23,9 @@ from tezgah.sources.shared import stored
 
 CAPACITY = 2048
 END = 0
-#: Fillings looked at for one largest piece, and nodes of the whole search. They bound the search for a better plan only: every piece is packed.
+#: Fillings looked at for one largest piece, and nodes of the search after the first plan. They bound the search for a better plan only: every piece is packed.
 WIDTH = 48
-NODES = 20_000
+NODES = 1_000
 
 Filling = tuple[tuple[int, int], ...]
 
@@ -87,7 +87,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, w
     from the best fit on, and uses one as often as the counts allow. The first
     way down is best fit and becomes the incumbent; a branch ends when the
     sequences so far and those that the rest needs at least are no fewer than
-    the incumbent's. It ends at a proven least number or after ``nodes`` nodes.
+    the incumbent's. It ends at a proven least number or ``nodes`` nodes after the first plan.
     """
     left = np.zeros(capacity + 1, np.int64)
     for s, n in counts.items():
@@ -124,7 +124,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, w
         if best_bins is not None and (best_bins <= least or seen >= nodes):
             return best
         if rest and (best_bins is None or used + -(-rest // capacity) < best_bins):
-            seen += 1
+            seen += best_bins is not None
             stack.append(options())
         elif chosen:
             undo()
