@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 from tezgah.functions.expressions import UNKNOWN
 
 OPEN_END = date(9999, 12, 31)
-SPREAD = 512  # keys the unknown member is spread over
-_RESERVED = -(2**62)  # start of a key range no dimension uses
+SLOTS = 512  # copies of the unknown member's row, unless the caller asks for more
+_RESERVED = -(2**63)  # start of a key range of 2^62 keys no dimension uses
 
 
-def _spread(key: str, spread_on: Sequence[str]) -> Column:
-    """The key, or one of the reserved keys where it is NULL or unknown."""
-    slot = F.pmod(F.xxhash64(*spread_on), F.lit(SPREAD))
+def _spread(key: str, spread_on: Sequence[str], slots: int | None = None) -> Column:
+    """The key, or a reserved key where it is NULL or unknown: one of ``slots``, or any."""
+    hashed = F.xxhash64(*spread_on)
+    slot = F.shiftrightunsigned(hashed, 2) if slots is None else F.pmod(hashed, F.lit(slots))
     hopeless = F.col(key).isNull() | (F.col(key) == UNKNOWN)
     return F.when(hopeless, slot + F.lit(_RESERVED)).otherwise(F.col(key).cast("bigint"))
 
@@ -89,19 +90,21 @@ def with_member(
     take: Mapping[str, str],
     spread_on: Sequence[str],
     how: str = "inner",
+    slots: int = SLOTS,
 ) -> DataFrame:
     """Joins dimension attributes by surrogate key, with the unknown member spread.
 
-    The unknown member's single row is repeated once per reserved key and its
-    facts pick one by hash; every other key stays one row.
+    The unknown member's single row is repeated once for each of ``slots``
+    reserved keys and its facts pick one by hash; every other key stays one
+    row. Take as many slots as the join has partitions, or more.
     """
     copies = F.transform(
-        F.sequence(F.lit(0), F.lit(SPREAD - 1)), lambda slot: slot + F.lit(_RESERVED)
+        F.sequence(F.lit(0), F.lit(slots - 1)), lambda slot: slot + F.lit(_RESERVED)
     )
     keys = F.when(F.col(sk) == UNKNOWN, copies).otherwise(F.array(F.col(sk).cast("bigint")))
     side = dimension.select(
         *[F.col(source).alias(name) for source, name in take.items()],
         F.explode(keys).alias("_sk"),
     )
-    keyed = facts.withColumn("_lookup", _spread(sk, spread_on))
+    keyed = facts.withColumn("_lookup", _spread(sk, spread_on, slots))
     return keyed.join(side, F.col("_lookup") == F.col("_sk"), how).drop("_sk", "_lookup")

@@ -30,17 +30,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The scanned rows over all cores, if the files allow fewer tasks than that.
-
-    A file of one row group is one task however long it takes. Files of the
-    usual number and size already make more tasks than cores; then nothing
-    is moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def cut(df: DataFrame) -> DataFrame:
     """The frame with its lineage cut by a reliable checkpoint.
 
