@@ -9,18 +9,21 @@ from the n-grams that they share with words seen in training.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tezgah.sources.shared import stored
+
 #: Labelled rows that the model is fitted on at most, toxic and not; those of the least hash are taken.
 TOXIC_ROWS, OTHER_ROWS = 2_000, 6_000
 BUCKETS = 1 << 17
 DIM = 8
 LENGTHS = (3, 4, 5)
-EPOCHS = 10
+EPOCHS = 20
 BATCH = 64
 RATE = 0.05
 DECAY = 1e-5
@@ -142,7 +145,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS,
 
 
 def _sampled(texts: DataFrame) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """Features of the labelled rows that the model is fitted on, worked out where the texts are."""
+    """Features of the labelled rows that the model is fitted on, worked out where the texts are and fetched part by part."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,7 +154,12 @@ def _sampled(texts: DataFrame) -> list[tuple[np.ndarray, np.ndarray, int]]:
             yield pa.RecordBatch.from_arrays(columns, ["buckets", "weights", "toxic"])
 
     rows = texts.select(F.col("text").cast("binary").alias("text"), F.col("toxic").cast("int")).mapInArrow(of, "buckets binary, weights binary, toxic int")
-    return [(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.weights, "<f4"), r.toxic) for r in rows.collect()]
+    return [(np.frombuffer(r.buckets, "<i4"), np.frombuffer(r.weights, "<f4"), r.toxic) for r in stored(rows, "features").toLocalIterator()]
+
+
+def _in_order(row: tuple[np.ndarray, np.ndarray, int]) -> tuple[int, bytes]:
+    """A place that depends on a row alone, so that any order of arrival trains the same model."""
+    return row[2], blake2b(row[0].tobytes() + row[1].tobytes(), digest_size=16).digest()
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS) -> Model:
@@ -166,7 +174,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, othe
     ids = [usable.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((0, other_rows), (1, toxic_rows))]
     taken = F.broadcast(ids[0].union(ids[1]))  # as many rows as the two bounds at most
     rows = _sampled(docs.select("doc_id", "text").join(taken, "doc_id"))
-    return fit(sorted(rows, key=lambda r: (r[2], r[0].tobytes(), r[1].tobytes())))
+    return fit(sorted(rows, key=_in_order))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
