@@ -26,6 +26,8 @@ from tezgah.sources.shared import stored
 
 MIN_WORDS = 50
 _FOUND = T.StructType().add("text", "string").add("n_lines", "long").add("n_deleted", "long").add("words_left", "boolean")
+#: Texts cut into windows at a time.
+TEXTS = 500
 WINDOWS = "doc_id long, start int, stop int, anchor long, fresh int, content binary"
 
 
@@ -55,7 +57,7 @@ def _windows(docs: DataFrame, min_words: int) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "stop", "anchor", "fresh", "content"]
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
             rows = [(key, *run) for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for run in line_runs(text, min_words)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -98,6 +100,9 @@ def _without(text: pd.Series, runs: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "n_lines", "n_deleted", "words_left"])
 
 
+_without = _without.asNondeterministic()  # so that a filter on its result does not run it a second time
+
+
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``(row, found)``: each document's columns as a struct, and its ``text`` without repeated runs,
     ``n_lines``, ``n_deleted`` and ``words_left``.

@@ -124,6 +124,14 @@ def cleaned(text: Column) -> Column:
     return let(judged, summed)
 
 
+def _base_failed(base: Column) -> Column:
+    return (base.n_words < MIN_WORDS) | (base.n_repeat_words * 100 > base.n_words * MAX_REPEATED)
+
+
+def _kept(base: Column, lines: Column) -> Column:
+    return ~_base_failed(base) & (lines.words_left * 100 >= base.n_words * MIN_LEFT)
+
+
 def assessed(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``(row, base, lines, base_failed, kept)`` for every row.
 
@@ -133,9 +141,8 @@ def assessed(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     other than ``text`` are only carried; no rows give no rows.
     """
     read = docs.select(as_row(keep or docs.columns), base_measures(F.col("text")).alias("base"), cleaned(F.col("text")).alias("lines"))
-    failed = (F.col("base.n_words") < MIN_WORDS) | (F.col("base.n_repeat_words") * 100 > F.col("base.n_words") * MAX_REPEATED)
-    enough = F.col("lines.words_left") * 100 >= F.col("base.n_words") * MIN_LEFT
-    return read.select("*", failed.alias("base_failed"), (~failed & enough).alias("kept"))
+    base, lines = F.col("base"), F.col("lines")
+    return read.select("*", _base_failed(base).alias("base_failed"), _kept(base, lines).alias("kept"))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -146,6 +153,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame) -> DataFrame:
     """The documents kept, without the lines that failed, in their own columns; ``n_chars`` is that of the new text."""
-    out = assessed(docs).where("kept")
+    # A filter over the measures would be pushed below them and work them out twice; an exploded list of one or none does not.
+    judged = F.array(F.struct(base_measures(F.col("text")).alias("base"), cleaned(F.col("text")).alias("lines")))
+    out = docs.select(as_row(docs.columns), F.explode(F.filter(judged, lambda v: _kept(v.base, v.lines))).alias("out")).select("row", "out.lines")
     new = {"text": F.col("lines.text"), "n_chars": F.length("lines.text").cast("long")}
     return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
