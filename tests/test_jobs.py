@@ -58,6 +58,18 @@ def test_bootstrap_from_csv(spark, jobs):
     # loading all of it again adds nothing
     jobs.bootstrap_csv(folder, date(2024, 1, 1), date(2024, 12, 31))
     assert jobs.wh.read(SALES).count() == 2 and jobs.wh.read("dim.store").count() == 1
+    loads = jobs.log.batches().filter("batch_name = 'load_dim_date'").orderBy("batch_id").collect()
+    assert [r["rows_inserted"] for r in loads] == [366, 0]
+
+
+def test_first_kpi_load_rounds_and_compares_with_the_target(spark, jobs):
+    frames = staging(spark, [{"transaction_id": 1}])
+    kpi = frames["fact_daily_store_kpi"].withColumns(
+        {"net_sales": F.lit(D("108.00")), "sales_target": F.lit(D("216.00")), "units_sold": F.lit(D("2.500"))}
+    )
+    jobs.bootstrap(frames | {"fact_daily_store_kpi": kpi}, date(2024, 1, 1), date(2024, 12, 31), date(2020, 1, 1))
+    row = jobs.wh.read(KPI).first()
+    assert (row["units_sold"], row["sales_vs_target_pct"]) == (3, D("50.0000"))
     assert jobs.wh.read("dim.date").count() == 366 and jobs.wh.read(KPI).count() == 1
     log = jobs.log.batches()
     assert {r["status"] for r in log.select("status").distinct().collect()} == {"SUCCESS"}

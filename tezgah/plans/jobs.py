@@ -23,7 +23,7 @@ from tezgah.operators.scd import CUSTOMER, EMPLOYEE, PRODUCT, STORE, Parent, Scd
 from tezgah.plans.batches import BatchLog
 from tezgah.plans.campaigns import PERFORMANCE, campaign_performance
 from tezgah.plans.inventory import INVENTORY, inventory_snapshot
-from tezgah.plans.kpi import KPI, daily_store_kpi
+from tezgah.plans.kpi import KPI, daily_store_kpi, generated
 from tezgah.plans.sales import SALES, bulk_load, incremental_sales
 from tezgah.schemas import TABLES, shaped
 from tezgah.sources.csv_files import read_csv
@@ -81,9 +81,9 @@ class Jobs:
         with self.log.batch("load_dim_date", "dim.date", "FULL_LOAD", SYSTEM, start, end) as batch:
             days = dim_date(date_range(self.spark, start, end), holidays)
             known = self.wh.read("dim.date").select("date_id")
-            fresh = days.join(known, "date_id", "left_anti")
+            fresh = cut(days.join(known, "date_id", "left_anti"))
             self.wh.append("dim.date", fresh)
-            batch.count(inserted=(end - start).days + 1)
+            batch.count(inserted=fresh.count())
 
     # Dimensions ------------------------------------------------------------------
 
@@ -190,7 +190,7 @@ class Jobs:
                 }
             )
             zero = ["return_amount", "units_returned", "return_transaction_count", "loyalty_customers"]
-            filled = shaped(keyed.withColumns({c: F.lit(0) for c in zero}), KPI)
+            filled = shaped(generated(keyed.withColumns({c: F.lit(0) for c in zero})), KPI)
             fresh = insert_skip_conflicts(self.wh.read(KPI), filled, ["date_id", "store_sk"], [])
             self.wh.append(KPI, fresh)
             batch.count(inserted=self.wh.read(KPI).filter(F.col("etl_batch_id") == batch.id).count())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tezgah.dictionaries import RETURN, SALE, SHRINKAGE, type_ids
@@ -98,23 +98,28 @@ def daily_store_kpi(
             "avg_basket_items": stored_ratio(F.col("units_sold"), count, "decimal(8,2)"),
             "gross_margin_pct": stored_ratio(F.col("gross_margin"), net, PCT, per=100),
             "return_rate_pct": stored_ratio(F.col("return_amount"), net, PCT, per=100),
-            "sales_vs_target_pct": stored_ratio(net, F.col("sales_target"), PCT, per=100, otherwise=None),
-            "units_sold": half_up_int("units_sold"),
-            "units_returned": half_up_int("units_returned"),
             "etl_batch_id": F.lit(batch_id).cast("bigint"),
             "etl_loaded_at": F.localtimestamp() if loaded_at is None else loaded_at,
         }
     )
-    return shaped(rows, KPI)
+    return shaped(generated(rows), KPI)
+
+
+def generated(kpi: DataFrame) -> DataFrame:
+    """KPI rows with what every write of the table works out: whole units, half-up, and the share of the target."""
+    return kpi.withColumns(
+        {
+            "units_sold": half_up_int("units_sold"),
+            "units_returned": half_up_int("units_returned"),
+            "sales_vs_target_pct": stored_ratio(F.col("net_sales"), F.col("sales_target"), PCT, per=100, otherwise=None),
+        }
+    )
 
 
 def with_targets(kpi: DataFrame, uplift: str = "1.08") -> DataFrame:
     """The KPI rows with ``sales_target = net_sales * uplift``, half-up to cents."""
     target = F.round(F.col("net_sales") * F.lit(uplift).cast("decimal(4,2)"), 2).cast(MONEY)
-    return kpi.withColumn("sales_target", target).withColumn(
-        "sales_vs_target_pct",
-        stored_ratio(F.col("net_sales"), F.col("sales_target"), PCT, per=100, otherwise=None),
-    )
+    return generated(kpi.withColumn("sales_target", target))
 
 
 def pos_daily_kpi(staged: DataFrame) -> DataFrame:
@@ -211,7 +216,8 @@ def kpi_inventory(
 ) -> DataFrame:
     """``(date_id, store_id, kpi_code, value)`` for the stock-side KPIs.
 
-    Cost of goods and shrinkage are those of the year up to the snapshot day.
+    Cost of goods and shrinkage are those of the year up to the snapshot day,
+    and the turn divides by the average stock value of that year's snapshots.
     Snapshot days are few and the day list is bounded by the calendar, so
     each fact line meets only the snapshot days that look back on it.
     """
@@ -228,6 +234,9 @@ def kpi_inventory(
         .groupBy("date_id", "store_id")
         .agg(*[F.sum(c).alias(c) for c in ("skus", "stockouts", "stock_value", "stock_qty")])
     )
+    year = Window.partitionBy("store_id").orderBy("_nth").rangeBetween(-364, 0)  # a row per snapshot day
+    dated = stock.join(calendar.select("date_id", F.unix_date("full_date").alias("_nth")), "date_id")
+    stock = dated.withColumn("average_value", F.avg(F.col("stock_value").cast("double")).over(year)).drop("_nth")
     kind = F.col("transaction_type_id")
     daily = (
         sales.filter(kind.isin(SALE, SHRINKAGE))
@@ -252,7 +261,7 @@ def kpi_inventory(
     joined = stock.join(flow, ["date_id", "store_id"], "left").fillna(0, ["cogs", "shrinkage"])
     values = {
         "STOCKOUT_RATE": guarded_ratio("stockouts", "skus", per=100),
-        "INVENTORY_TURN": guarded_ratio("cogs", "stock_value"),
+        "INVENTORY_TURN": guarded_ratio("cogs", "average_value"),
         "SHRINKAGE_RATE": guarded_ratio("shrinkage", "stock_qty", per=100),
     }
     return _long(joined, ["date_id", "store_id"], values)

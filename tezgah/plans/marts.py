@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tezgah.dictionaries import SALE, dictionary, type_ids
-from tezgah.functions.expressions import UNKNOWN, exact_sum, guarded_ratio, half_up_int, ntz
+from tezgah.functions.expressions import UNKNOWN, exact_sum, guarded_ratio, half_up_int, major_units, minor_units, ntz
 from tezgah.operators.lookups import with_member
 from tezgah.operators.ranking import Score, ntiles
 from tezgah.sources.shared import cut
@@ -266,11 +266,18 @@ def category_performance(
         "quantity": "satilan_adet", "net_sales_amount": "net_satis", "cogs_amount": "maliyet",
         "gross_margin_amount": "brut_kar", "discount_amount": "indirim",
     }
-    totals = lines.groupBy(*group).agg(
-        F.count_distinct("transaction_id").alias("islem_sayisi"),
-        F.count_distinct("product_sk").alias("urun_cesidi"),
-        *[exact_sum(c, 3 if c == "quantity" else 2).alias(n) for c, n in measures.items()],
+    # Two distinct counts in one aggregate would triple every line; receipts and products fold apart instead.
+    digits = {n: 3 if c == "quantity" else 2 for c, n in measures.items()}
+    receipts = lines.groupBy(*group, "transaction_id").agg(
+        *[F.sum(minor_units(c, digits[n])).alias(n) for c, n in measures.items()]
     )
+    sums = receipts.groupBy(*group).agg(
+        F.count("transaction_id").alias("islem_sayisi"),
+        *[major_units(F.sum(n), digits[n]).alias(n) for n in measures.values()],
+    )
+    variety = lines.select(*group, "product_sk").distinct().groupBy(*group).agg(F.count("*").alias("urun_cesidi"))
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"v.{c}")) for c in group]
+    totals = sums.alias("t").join(variety.alias("v"), reduce(and_, same)).select("t.*", "urun_cesidi")
     months = calendar.select(*month).distinct()
     named = totals.join(F.broadcast(months), ["year_number", "month_number"]).join(shared, "_kind")
     return named.select(
