@@ -1,4 +1,4 @@
-"""Every registered query against its expected result in DuckDB."""
+"""Every query of the warehouse against its expected result in DuckDB."""
 
 import math
 import os
@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from oracle.queries import ORACLE
+from tezgah.queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
@@ -33,17 +35,17 @@ def _sorted(rows):
     return sorted(clean, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    frame = queries()[name](spark, FOLDER)
+    frame = QUERIES[name](spark, FOLDER)
     columns = sorted(frame.columns)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in FORBIDDEN if node in plan]
     rows = frame.select(*columns).collect()
     assert rows
-    if name not in oracle_sql():
+    if name not in ORACLE:
         return
-    relation = duck.sql(oracle_sql()[name])
+    relation = duck.sql(ORACLE[name])
     assert sorted(relation.columns) == columns
     types = dict(zip(relation.columns, map(str, relation.types)))
     assert {c: TYPES.get(t) for c, t in frame.dtypes} == types
@@ -56,4 +58,8 @@ def test_entry(spark):
 
 
 def test_only_the_manifest_has_no_expected_result():
-    assert set(queries()) - set(oracle_sql()) == {"src_manifest"}
+    assert set(QUERIES) - set(ORACLE) == {"src_manifest"}
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
