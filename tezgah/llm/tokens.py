@@ -3,18 +3,23 @@
 Both tokenizers cut a text at white space before anything else, so a text's ids
 are the ids of its pieces in order. A worker encodes each different piece of a
 group of texts once, many at a time with a special token between them, and keeps
-those of two generations of up to ``KEPT`` pieces for later ones.
+those of two generations of up to ``KEPT`` pieces for later ones. A worker that
+goes on to other work lets go of them.
 """
 
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 
 #: Pieces in a generation. At the next one the younger becomes the older, and what of it is used again moves up.
 KEPT = 300_000
+#: Seconds without a text after which the pieces kept are let go, as the worker may serve another stage by then.
+IDLE = 3.0
 #: Characters of text cut into pieces at a time.
 CUT = 2_000_000
 #: Pieces encoded in one string.
@@ -36,18 +41,28 @@ class Encoder:
     def __init__(self, path: str, pieces: re.Pattern, dtype: str) -> None:
         from tokenizers import Tokenizer
 
-        self.pieces, self.dtype, self.kept, self.older = pieces, dtype, {}, {}
-        self.joined, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True
+        self.path, self.pieces, self.dtype, self.kept, self.older = path, pieces, dtype, {}, {}
+        self.held, self.timer = threading.Lock(), None
+        self.joined = Tokenizer.from_file(path)
         special = {i: t for i, t in self.joined.get_added_tokens_decoder().items() if not (t.lstrip or t.rstrip)}
         self.stop = max(special)
         self.mark, self.marks = special[self.stop].content, [t.content for t in self.joined.get_added_tokens_decoder().values()]
 
+    @cached_property
+    def plain(self):
+        """Takes strings of special tokens as text; few texts need it."""
+        from tokenizers import Tokenizer
+
+        plain = Tokenizer.from_file(self.path)
+        plain.encode_special_tokens = True
+        return plain
+
     def _learn(self, wanted: set[str]) -> None:
-        if len(self.kept) + len(wanted - self.kept.keys()) > KEPT:
-            self.older, self.kept = self.kept, {}
+        missing = wanted.difference(self.kept)
+        if len(self.kept) + len(missing) > KEPT:
+            self.older, self.kept, missing = self.kept, {}, wanted
         new = []
-        for p in wanted - self.kept.keys():
+        for p in missing:
             if p in self.older:
                 self.kept[p] = self.older[p]
             elif any(m in p for m in self.marks):
@@ -63,7 +78,13 @@ class Encoder:
                 self.kept[p] = raw[start * width : end * width]
                 start = end + 1
 
+    def _let_go(self) -> None:
+        with self.held:
+            self.kept, self.older = {}, {}
+
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        if self.timer:
+            self.timer.cancel()
         group, size = [], 0
         for text in texts:
             group.append(text or "")
@@ -72,12 +93,16 @@ class Encoder:
                 yield from self._encode(group)
                 group, size = [], 0
         yield from self._encode(group)
+        self.timer = threading.Timer(IDLE, self._let_go)
+        self.timer.daemon = True
+        self.timer.start()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces.findall(t) for t in texts]
-        self._learn(set().union(*cut))
-        of = self.kept.__getitem__
-        return [b"".join(map(of, p)) for p in cut]
+        with self.held:
+            self._learn(set().union(*cut))
+            of = self.kept.__getitem__
+            return [b"".join(map(of, p)) for p in cut]
 
 
 def encoder(path: str, pieces: re.Pattern, dtype: str = "<u4") -> Encoder:
