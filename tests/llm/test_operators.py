@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from itertools import combinations
 
@@ -11,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from tezgah.llm import chat, components, decontaminate, line_dedup, lm_score, packing, pii, quality_lines, simhash, token_files, toxicity
+from tezgah.llm import chat, components, decontaminate, line_dedup, lm_score, packing, pii, quality_lines, simhash, token_files, tokens, toxicity
 
 WORDS = [f"w{k}" for k in range(400)]
 SCHEMA = "doc_id long, text string, lang string, row string, n_chars long, key long"
@@ -220,6 +221,30 @@ def test_failing_lines_go_and_much_loss_rejects(spark):
     assert {r.doc_id: r.text for r in out} == {1: good, 3: good}
 
 
+def test_cleaning_keeps_what_the_report_keeps(docs, nothing):
+    good = docs.unionByName(docs.selectExpr("doc_id + 100 AS doc_id", "repeat('Some words end here.\\na | b | c\\nTen new ' || doc_id || ' ones.\\n', 1) || text || '.' AS text", "lang", "row", "n_chars", "key"))
+    kept = {r.doc_id for r in quality_lines.report(good).collect() if r.kept}
+    out = quality_lines.clean(good)
+    rows = out.collect()
+    assert kept and out.columns == docs.columns and sorted(r.doc_id for r in rows) == sorted(kept)
+    assert all(r.n_chars == len(r.text) and r.row == "clash" for r in rows)
+    assert not any("a | b | c" in r.text for r in rows)
+    assert quality_lines.clean(nothing).columns == docs.columns and not quality_lines.clean(nothing).count()
+    assert out._jdf.queryExecution().executedPlan().toString().count("Generate explode") == 1
+
+
+@pytest.mark.parametrize(("name", "pieces"), [("word_bpe_49k.json", tokens.BARE), ("byte_bpe_50k.json", tokens.SPACED)])
+def test_encoder_gives_the_ids_of_whole_texts_also_after_a_pause(name, pieces, monkeypatch):
+    monkeypatch.setattr(tokens, "IDLE", 0.2)
+    plain = Tokenizer.from_file(public_tokenizers.path(name))
+    plain.encode_special_tokens = True
+    expected = [np.array(plain.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in TEXTS]
+    own = tokens.Encoder(public_tokenizers.path(name), pieces, "<u4")
+    assert list(own.encode(TEXTS)) == expected and own.kept
+    time.sleep(1)
+    assert not own.kept and list(own.encode(TEXTS)) == expected
+
+
 def test_repeated_runs_go_and_the_first_stays(docs, nothing):
     out = {r.doc_id: r for r in line_dedup.report(docs).collect()}
     assert out[10].n_deleted == 0 and out[11].text == "other start.\nend two."
