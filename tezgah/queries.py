@@ -83,13 +83,15 @@ def src_sanitize_nonfinite(m: DemoModel) -> DataFrame:
 
 @_registered
 def src_manifest(m: DemoModel) -> DataFrame:
-    """Files, rows and bytes of two written tables."""
+    """Rows of two written tables by their files, and whether all files have a name and a size."""
     files = {}
     for name, frame in {"stg_store": m.stg_store(), "stg_sales_transaction": m.stg_sales}.items():
         path = scratch_path(m.spark, name)
         write_csv(frame, path, name)
         files[name] = m.spark.read.option("header", True).csv(path)
-    return manifest(files)
+    return manifest(files).groupBy("table_name").agg(
+        F.sum("row_count").alias("row_count"), F.bool_and((F.col("file_size") > 0) & F.col("file_path").like("%.csv")).alias("has_files")
+    )
 
 
 @_registered
