@@ -45,12 +45,15 @@ def staging(spark, lines):
 
 def test_bootstrap_from_csv(spark, jobs):
     folder = scratch_path(spark, "csv")
-    lines = [{"transaction_id": 1}, {"transaction_id": 2, "store_id": 9}, {"transaction_id": 3, "customer_id": -1}]
+    lines = [{"transaction_id": 1}, {"transaction_id": 2, "store_id": 9}, {"transaction_id": 3, "customer_id": -1, "campaign_id": 3}]
     for name, frame in staging(spark, lines).items():
         write_csv(frame, f"{folder}/{name}.csv", name)
     jobs.bootstrap_csv(folder, date(2024, 1, 1), date(2024, 12, 31))
     sales = jobs.wh.read(SALES).collect()
     assert sorted((r["transaction_id"], r["store_sk"], r["customer_sk"]) for r in sales) == [(1, 1, 1), (3, 1, -1)]
+    campaigns = {r["campaign_id"]: r["campaign_sk"] for r in jobs.wh.read("dim.campaign").collect()}
+    assert set(campaigns) == {-1, 1, 2, 3, 4, 5}
+    assert {r["transaction_id"]: r["campaign_sk"] for r in sales} == {1: -1, 3: campaigns[3]}
     assert jobs.wh.read("dim.date").count() == 366
     assert {r["customer_sk"] for r in jobs.wh.read("dim.customer").collect()} == {-1, 1}
     kpi = jobs.wh.read(KPI).collect()

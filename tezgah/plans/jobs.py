@@ -38,6 +38,20 @@ _PARENTS = {
 }
 
 
+# The campaigns of a first load.
+CAMPAIGN_COLUMNS = (
+    "campaign_id bigint, campaign_code string, campaign_name string, campaign_type string, channel string, "
+    "start_date date, end_date date"
+)
+DEFAULT_CAMPAIGNS = [
+    (1, "CAMP-001", "Yılbaşı İndirimi 2023", "İndirim", "Tüm Kanal", date(2022, 12, 15), date(2023, 1, 5)),
+    (2, "CAMP-002", "Ramazan Kampanyası 2023", "İndirim", "Mağaza", date(2023, 3, 23), date(2023, 4, 21)),
+    (3, "CAMP-003", "Yaz Sezonu 2023", "BOGO", "Tüm Kanal", date(2023, 6, 1), date(2023, 8, 31)),
+    (4, "CAMP-004", "Yılbaşı İndirimi 2024", "İndirim", "Tüm Kanal", date(2023, 12, 15), date(2024, 1, 5)),
+    (5, "CAMP-005", "Yaz Sezonu 2024", "BOGO", "Online", date(2024, 6, 1), date(2024, 8, 31)),
+]
+
+
 class Jobs:
     """The load procedures over one warehouse."""
 
@@ -258,12 +272,14 @@ class Jobs:
             self.load_daily_kpi(staging["fact_daily_store_kpi"])
 
     def bootstrap_csv(self, folder: str, start: date = date(2020, 1, 1), end: date = date(2030, 12, 31),
-                      effective: date = date(2020, 1, 1)) -> None:
-        """``bootstrap`` from the seven CSV files of a folder."""
+                      effective: date = date(2020, 1, 1), campaigns: DataFrame | None = None) -> None:
+        """``bootstrap`` from the seven CSV files of a folder, with the default campaigns if none are given."""
         names = ("stg_region", "stg_product_category", "stg_store", "stg_product", "stg_customer",
                  "stg_sales_transaction", "fact_daily_store_kpi")
         staging = {name: read_csv(self.spark, f"{folder}/{name}.csv", name) for name in names}
-        self.bootstrap(staging, start, end, effective)
+        if campaigns is None:
+            campaigns = literal_rows(self.spark, DEFAULT_CAMPAIGNS, CAMPAIGN_COLUMNS)
+        self.bootstrap(staging | {"stg_campaign": campaigns}, start, end, effective)
 
 
 def _tracked(staged: DataFrame, spec: ScdSpec) -> DataFrame:
