@@ -22,6 +22,17 @@ def as_row(columns: list[str]) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
 
 
+#: Rows with whole texts that Spark hands to a Python worker at a time; its own default is 10,000.
+TEXTS = 1_000
+
+
+def few_texts_a_batch(df: DataFrame) -> None:
+    """Lowers the session's limit on rows of an Arrow batch, so that batches of long texts stay small on both sides."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= TEXTS:
+        conf.set(key, TEXTS)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tezgah.llm.common import as_row, words_of
+from tezgah.llm.common import as_row, few_texts_a_batch, words_of
 
 WINDOW = 10
 #: Bytes of benchmark text sent to the executors at a time.
@@ -122,6 +122,7 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     words matches nothing, rows of the benchmark without ``item_id`` are left
     out. Repeated rows and repeated ids are matched row by row.
     """
+    few_texts_a_batch(docs)
     spark = docs.sparkSession
     frame = docs.select(as_row(keep or docs.columns), F.col("text").cast("binary").alias("text"), F.lit(None).cast("int").alias("n_words"), F.array().cast(MATCH).alias("matches"))
     schema = T.StructType(frame.schema.fields)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tezgah.llm.common import as_row
+from tezgah.llm.common import as_row, few_texts_a_batch
 from tezgah.sources.shared import stored
 
 MIN_WORDS = 50
@@ -115,6 +115,7 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeat of each other at the same place stays. Other columns are carried; no
     rows give no rows.
     """
+    few_texts_a_batch(docs)
     runs = repeated_runs(docs, min_words)
     joined = docs.select("doc_id", as_row(docs.columns)).join(runs, "doc_id", "left")
     return joined.select("row", _without(F.col("row.text"), F.col("runs")).alias("found"))

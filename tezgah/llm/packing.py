@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tezgah.llm.common import few_texts_a_batch
 from tezgah.llm.tokens import SPACED, encoder
 from tezgah.sources.shared import stored
 
@@ -189,6 +190,7 @@ def packed(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     each; rows without ``doc_id`` are packed too. Ties of length are numbered by
     document and piece. Other columns are ignored; no rows give no rows.
     """
+    few_texts_a_batch(docs)
     block = F.spark_partition_id().alias("block")
     pieces = stored(pieces_of(docs, tokenizer, capacity).select("*", block), "pieces")
     counts = stored(pieces.groupBy("length", "block").agg(F.count("*").alias("n")), "lengths")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tezgah.llm.common import partitions
+from tezgah.llm.common import few_texts_a_batch, partitions
 from tezgah.llm.components import connected_components
 from tezgah.sources.shared import stored
 
@@ -147,6 +147,7 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGL
     component; a component of such rows only is NULL. Other columns are ignored;
     no rows give no rows.
     """
+    few_texts_a_batch(docs)
     prints = stored(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     tied = connected_components(near_links(nodes.select("fp"), bits)).withColumnRenamed("node", "fp")
