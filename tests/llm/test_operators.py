@@ -341,6 +341,29 @@ def test_surrogates_keep_kind_form_and_identity(spark, nothing):
     assert not pii.anonymized(nothing, b"k").count()
 
 
+def test_surrogates_of_what_draws_cannot_change_or_separate(spark):
+    odd = ["********", "βγδεζ", "密码密码", "((((((((", "----"]
+    rows = [(k, f"password: {x}") for k, x in enumerate(odd)] + [(10, "token = 0000 ")]
+    out = {r.doc_id: r.text for r in pii.anonymized(spark.createDataFrame(rows, "doc_id long, text string"), b"k").select("row.doc_id", "text").collect()}
+    assert len(out) == 6 and not [x for k, x in enumerate(odd) if x in out[k]]
+    narrow = [("secret", f"{k:04d}") for k in range(6000)] + [("ip", ".".join(f"{k:04d}")) for k in range(6000)]
+    made = pii.surrogates(spark.createDataFrame(narrow, "kind string, entity string"), b"k").collect()
+    assert len(made) == len(narrow) and len({(r.kind, r.surrogate) for r in made}) == len(narrow)
+    assert not {(r.kind, r.surrogate) for r in made} & set(narrow)
+
+
+@pytest.mark.parametrize(("kind", "entities"), [
+    ("email", ["a@b.com", "cd@ef.org"]), ("secret", ["****", "1234"]), ("key", ["A" * 16]), ("hex", ["a1" * 16, "a1" * 20]), ("iban", ["GB29NWBK60161331926819", "NO9386011117947X"]),
+    ("ip", ["1.2.3.4"]), ("card", ["4539578763621486", "4222222222222"]), ("ssn", ["123456789"]), ("phone", ["5552485", "19885552485"]), ("name-first-f-cyrillic", ["анна"]), ("name-last-greek", ["α"]),
+])
+def test_numbered_surrogates_are_all_different(kind, entities):
+    numbers = [*range(2000), 10**9, 10**9 + 1, 10**14, 10**14 + 1]
+    made = [pii.numbered(kind, entities[n % len(entities)], b"k", n) for n in numbers]
+    assert len(set(made)) == len(numbers)
+    assert kind != "card" or not [x for x in made[:2000] if pii._luhn(x)]
+    assert kind not in ("card", "ssn", "phone") or re.sub(r"\D", "", pii.rendered(kind, "555-2485", made[0])) == made[0]
+
+
 def test_pipeline_stages_keep_columns(spark, tmp_path):
     import corpus_pipeline
 

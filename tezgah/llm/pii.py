@@ -4,14 +4,19 @@ Entities are found in whole texts, brought to one form, and each different one
 gets a surrogate from a keyed hash: digits for digits, letters for letters of
 the same script and case, names for names of the same gender. Surrogates are
 checked over the whole corpus: no two entities of a kind share one, and none is
-itself an entity of the corpus; those that fail are drawn again. So what was
-the same stays the same, and what was different stays different.
+itself an entity of the corpus; those that fail are drawn again. What still
+fails after ``DRAWS`` draws is numbered, and its surrogate tells the number, in
+a longer form where the entity's own has too little room (see ``numbered``). So
+what was the same stays the same, and what was different stays different.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,10 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tezgah.llm.common import as_row
+from tezgah.operators.ranking import global_row_number
 from tezgah.sources.shared import stored
 
-#: Draws for one entity before the run is given up.
-ATTEMPTS = 64
+#: Draws for one entity before it is numbered.
+DRAWS = 16
+#: Symbols that stand for one another in secrets; blanks, quotes, brackets and separators are form and stay.
+SYMBOLS = "!#$%&*+=?@^|~"
+#: Digits of a number that is appended; every BIGINT count of entities fits.
+WIDE = 18
 
 # Titles by gender, endings and syllables of invented names.
 MALE = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Signor", "господин", "г-н")
@@ -103,6 +113,12 @@ def mentions_of(text: str | None) -> list[tuple[str, str, int, int]]:
     return sorted(taken, key=lambda m: m[2])
 
 
+@cache
+def _peers(page: int, category: str) -> tuple[str, ...]:
+    """Characters of one category among 128 neighbours."""
+    return tuple(c for c in map(chr, range(page << 7, (page + 1) << 7)) if unicodedata.category(c) == category)
+
+
 class _Draw:
     """A stream of numbers from a keyed hash."""
 
@@ -116,8 +132,8 @@ class _Draw:
         x, self.pool = int.from_bytes(self.pool[:4], "little"), self.pool[4:]
         return x % n
 
-    def alike(self, text: str, hexadecimal: bool = False) -> str:
-        """Digits for digits, and letters for letters of the same case; the rest as it is."""
+    def alike(self, text: str, hexadecimal: bool = False, symbols: bool = False) -> str:
+        """Digits for digits, letters for letters of the same script and case, and if asked symbols for symbols; the rest as it is."""
         out = []
         for c in text:
             if hexadecimal and c in "0123456789abcdef":
@@ -128,6 +144,11 @@ class _Draw:
                 out.append(chr((65 if c.isupper() else 97) + self.below(26)))
             elif 0x430 <= ord(c) <= 0x44F or 0x410 <= ord(c) <= 0x42F:
                 out.append(chr((0x410 if c.isupper() else 0x430) + self.below(32)))
+            elif symbols and c in SYMBOLS:
+                out.append(SYMBOLS[self.below(len(SYMBOLS))])
+            elif not c.isascii() and unicodedata.category(c)[0] in "LMNPS":
+                peers = _peers(ord(c) >> 7, unicodedata.category(c))
+                out.append(peers[self.below(len(peers))])
             else:
                 out.append(c)
         return "".join(out)
@@ -159,7 +180,58 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         _, part, *rest = kind.split("-")
         script, gender = rest[-1], rest[0] if part == "first" else "n"
         return "".join(SYLLABLES[script][draw.below(16)] for _ in range(2 + attempt // 4)) + ENDINGS[script][gender][draw.below(4)]
-    return draw.alike(entity, hexadecimal=kind == "hex" or bool(re.fullmatch("[0-9a-f]{6,}", entity)))
+    return draw.alike(entity, hexadecimal=kind == "hex" or bool(re.fullmatch("[0-9a-f]{6,}", entity)), symbols=kind == "secret")
+
+
+def numbered(kind: str, entity: str, key: bytes, number: int) -> str:
+    """A surrogate that no other number of the kind gives, whatever the entity.
+
+    Keys, hex strings, IBANs, cards and SSNs keep their form. Others widen: a
+    secret by ``WIDE`` digits (it is these alone if no character has another to stand for it), a mail's local part to a letter and as many, a
+    phone number to 15 digits, an IP to octets of any length, a name to ten
+    syllables. Where a form's own numbers end, digits are 40, an IP is IPv6 and
+    a name has as many syllables as it takes.
+    """
+    draw = _Draw(key, kind, entity, "numbered")
+
+    def mixed(size: int) -> int:
+        """The number's place in a keyed order of the numbers below ``size``."""
+        order = _Draw(key, kind, "order", size)
+        factor, shift = (order.below(1 << 31) << 31) + order.below(1 << 31), order.below(1 << 31)
+        while math.gcd(factor, size) != 1:
+            factor += 1
+        return (number * factor + shift) % size
+
+    def digits(n: int) -> str:
+        return f"{mixed(10**n):0{n}d}"
+
+    if kind == "email":
+        made = surrogate(kind, entity, key)
+        return f"u{digits(WIDE)}@{made.partition('@')[2]}"
+    if kind == "key":
+        return digits(16)
+    if kind == "hex":
+        return draw.alike(entity[:-16], hexadecimal=True) + digits(16)
+    if kind == "ip":
+        if number < 1 << 32:
+            return ".".join(map(str, mixed(1 << 32).to_bytes(4, "big")))
+        return "2001:db8:" + ":".join(f"{number >> k & 0xFFFF:04x}" for k in range(80, -1, -16))
+    if kind.startswith("name-"):
+        _, part, *rest = kind.split("-")
+        script, gender = rest[-1], rest[0] if part == "first" else "n"
+        n = max(10, len(f"{number:x}"))
+        place = mixed(16**n)
+        return "".join(SYLLABLES[script][place >> 4 * k & 15] for k in range(n)) + ENDINGS[script][gender][0]
+    if kind in _BY_DIGITS or kind == "iban":
+        room = {"iban": 12, "card": len(entity) - 2, "ssn": 9, "phone": 14}[kind]
+        if number >= 10 ** min(room, 11 if kind == "card" else room):
+            return f"{number:040d}"
+        if kind == "card":
+            body = entity[0] + digits(room) + "0"
+            return body[:-1] + str(-_luhn(body) % 10)
+        return {"iban": entity[:2] + draw.alike(entity[2:-12]), "phone": "2"}.get(kind, "") + digits(room)
+    like = draw.alike(entity, symbols=True)
+    return ("" if like == entity else like) + digits(WIDE)
 
 
 def rendered(kind: str, mention: str, made: str) -> str:
@@ -167,7 +239,7 @@ def rendered(kind: str, mention: str, made: str) -> str:
     if kind in _BY_DIGITS or kind == "iban":
         same = str.isdigit if kind in _BY_DIGITS else str.isalnum
         source = iter(made)
-        return "".join(next(source, "0") if same(c) else c for c in mention)
+        return "".join([next(source, "0") if same(c) else c for c in mention]) + "".join(source)
     if kind.startswith("name-"):
         return made.upper() if mention.isupper() and len(mention) > 1 else "-".join(x.capitalize() for x in made.split("-"))
     return made.upper() if kind == "email" and mention.isupper() else made
@@ -194,18 +266,31 @@ def surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     def draw(kind: pd.Series, entity: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(k, e, key, a) for k, e, a in zip(kind, entity, attempt, strict=True)], dtype=object)
 
+    @F.pandas_udf("string")
+    def number(kind: pd.Series, entity: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series([numbered(k, e, key, int(x)) for k, e, x in zip(kind, entity, n, strict=True)], dtype=object)
+
+    real = entities.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("taken"))
     tries = stored(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", draw("kind", "entity", "attempt")), "surrogates")
-    for _ in range(ATTEMPTS):
+    for left in reversed(range(DRAWS)):
         first = tries.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"))
-        real = entities.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("real"))
         checked = tries.join(first, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
-        bad = F.col("real").isNotNull() | (F.col("first") != F.col("entity"))
+        bad = F.col("taken").isNotNull() | (F.col("first") != F.col("entity"))
         judged = checked.select("kind", "entity", "surrogate", (F.col("attempt") + bad.cast("int")).alias("attempt"), bad.alias("bad"))
         if not judged.where("bad").limit(1).count():
             return tries.select("kind", "entity", "surrogate")
-        redrawn = F.when(F.col("bad"), draw("kind", "entity", "attempt")).otherwise(F.col("surrogate"))
-        tries = stored(judged.select("kind", "entity", "attempt", redrawn.alias("surrogate")), "surrogates")
-    raise RuntimeError(f"surrogates still collide after {ATTEMPTS} draws")
+        redrawn = F.when(F.col("bad"), draw("kind", "entity", "attempt")).otherwise(F.col("surrogate")) if left else F.col("surrogate")
+        tries = stored(judged.select("kind", "entity", "attempt", redrawn.alias("surrogate"), "bad"), "surrogates")
+    made = tries.where(~F.col("bad")).select("kind", "entity", "surrogate")
+    taken = real.unionByName(made.select("kind", "surrogate", F.lit(True).alias("taken")))
+    order = F.sha2(F.concat_ws(" ", F.lit(key.hex()), "kind", "entity"), 256)
+    rest = stored(global_row_number(tries.where("bad").select("kind", "entity", order.alias("digest")), ["digest", "kind", "entity"], "n", 0).drop("digest"), "numbered")
+    step = rest.count()
+    while step and rest.limit(1).count():  # each round has numbers of its own, and what is taken spoils one number at most
+        checked = stored(rest.withColumn("surrogate", number("kind", "entity", "n")).join(taken, ["kind", "surrogate"], "left"), "numbered")
+        made = made.unionByName(checked.where("taken is null").select("kind", "entity", "surrogate"))
+        rest = checked.where("taken").select("kind", "entity", (F.col("n") + step).alias("n"))
+    return made
 
 
 @F.pandas_udf(T.StringType())
