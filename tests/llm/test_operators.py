@@ -320,6 +320,23 @@ def test_losses_match_brute_force(spark):
     assert max(got[k].score for k in range(0, 12, 2)) < min(got[k].score for k in range(1, 12, 2))
 
 
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    near, far, other = prose(31, 60), prose(32, 60), prose(33, 60)
+    schema = "doc_id long, text string"
+    runs = [(1, f"{near}\n{other}"), (2, f"{near}\n{far}"), (2, f"{other}\n{far}\n{far}"), (2, "short"), (2, None), (None, far), (None, far)]
+    out = sorted((r.doc_id or 9, r.text or "", r.n_deleted) for r in line_dedup.report(spark.createDataFrame(runs, schema)).collect())
+    assert len(out) == len(runs) and "\n".join(t for _, t, _ in out).split("\n").count(far) == 1
+    assert (1, f"{near}\n{other}", 0) in out and (2, "short", 0) in out and (2, "", 0) in out
+    rows = [(5, near), (7, near), (5, far), (3, far), (8, other), (8, other), (None, other), (None, LONG), (None, LONG)]
+    left = sorted((r.doc_id or 9, r.text) for r in simhash.first_of_each(spark.createDataFrame(rows, schema)).collect())
+    assert left == [(3, far), (5, near), (8, other), (9, LONG)]
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b c d"), (1, "a b"), (2, "x")], schema)
+    path = token_files.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    got = token_files.read_ids(token_files.find_keys(docs.select("doc_id").distinct(), path), path).collect()
+    assert sorted(r.doc_id for r in got) == [1, 1, 1, 2] and len({r.start for r in got}) == 4
+    assert len({r.ids_crc32 for r in got if r.doc_id == 1}) == 2
+
+
 def test_surrogates_keep_kind_form_and_identity(spark, nothing):
     card = "4539578763621486"
     text = f"Mrs. Anna Smith and Mr. Smith, a.b@mail1.example.com or A.B@MAIL1.EXAMPLE.COM, {card}, +1 (988) 555-2485, 44.161.181.40. 1234567890123456 stays."

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tezgah.sources.shared import stored
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -22,6 +24,16 @@ def as_row(columns: list[str]) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``(row, place)``, stored: each row's columns as a struct and a number of its own, whatever its ``doc_id``."""
+    return stored(docs.select(as_row(docs.columns), F.monotonically_increasing_id().alias("place")), name)
+
+
+def rank(doc_id: Column, text: Column, place: Column) -> Column:
+    """The order of rows as a struct: by ``doc_id`` (NULL last), then text, then place."""
+    return F.struct(doc_id.isNull().alias("last"), F.coalesce(doc_id, F.lit(0)).cast("long").alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("digest"), place.alias("place"))
+
+
 #: Rows with whole texts that Spark hands to a Python worker at a time; its own default is 10,000.
 TEXTS = 1_000
 

@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tezgah.llm.common import as_row, few_texts_a_batch
+from tezgah.llm.common import few_texts_a_batch, keyed, rank
 from tezgah.sources.shared import stored
 
 MIN_WORDS = 50
 _FOUND = T.StructType().add("text", "string").add("n_lines", "long").add("n_deleted", "long").add("words_left", "boolean")
 #: Texts cut into windows at a time.
 TEXTS = 500
-WINDOWS = "doc_id long, start int, stop int, anchor long, fresh int, content binary"
+WINDOWS = "rank struct<last: boolean, id: long, digest: long, place: long>, start int, stop int, anchor long, fresh int, content binary"
 
 
 def line_runs(text: bytes | None, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, bytes]]:
@@ -53,31 +53,32 @@ def line_runs(text: bytes | None, min_words: int = MIN_WORDS) -> list[tuple[int,
     return out
 
 
-def _windows(docs: DataFrame, min_words: int) -> DataFrame:
+def _windows(rows: DataFrame, min_words: int) -> DataFrame:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "start", "stop", "anchor", "fresh", "content"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["rank", "start", "stop", "anchor", "fresh", "content"]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
         for batch in (whole.slice(at, TEXTS) for whole in batches for at in range(0, whole.num_rows, TEXTS)):
-            rows = [(key, *run) for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for run in line_runs(text, min_words)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            runs = [(k, *run) for k, text in enumerate(batch.column("text").to_pylist()) for run in line_runs(text, min_words)]
+            if runs:
+                at, *columns = zip(*runs, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column("rank").take(pa.array(at)), *(pa.array(x, t) for x, t in zip(columns, kinds, strict=True))], names)
 
-    return docs.where("doc_id is not null").select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(of, WINDOWS)
+    return rows.select(rank(F.col("row.doc_id"), F.col("row.text"), F.col("place")).alias("rank"), F.col("row.text").cast("binary").alias("text")).mapInArrow(of, WINDOWS)
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, runs)``: spans ``start, stop`` of lines that repeat an earlier run, of each document with any.
+def repeated_runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(place, runs)``: spans ``start, stop`` of lines that repeat an earlier run, of each of the keyed rows with any.
 
-    Earlier is of lesser ``doc_id``, or further up in the same document. Spans
-    may overlap; together they cover the repeated runs.
+    Earlier is of lesser rank (by ``doc_id`` first), or further up in the same
+    row. Spans may overlap; together they cover the repeated runs.
     """
-    windows = stored(_windows(docs, min_words), "windows")
+    windows = stored(_windows(rows, min_words), "windows")
     shared = windows.groupBy("anchor").agg(F.sum("fresh").alias("n")).where("n > 1").select("anchor")
-    met = windows.join(shared, "anchor").select("doc_id", "start", "stop", "content")
-    place = F.struct("doc_id", "start")
+    met = windows.join(shared, "anchor").select("rank", "start", "stop", "content")
+    place = F.struct("rank", "start")
     first = met.groupBy("content").agg(F.min(place).alias("first"))
     later = met.join(first, "content").where(place > F.col("first"))
-    return later.groupBy("doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+    return later.groupBy("rank.place").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
 
 
 @F.pandas_udf(_FOUND)
@@ -110,14 +111,13 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A line with words is deleted if it lies in a run of lines of ``min_words``
     words or more that stands earlier too. ``words_left`` is false where every
     line with words was deleted. NULL, empty and shorter texts have no runs and
-    stay as they are, and so do rows without ``doc_id``, which count for nothing
-    elsewhere. Rows that repeat a ``doc_id`` are the same document: what they
-    repeat of each other at the same place stays. Other columns are carried; no
-    rows give no rows.
+    stay as they are. Each row is a document of its own, also if it repeats a
+    ``doc_id`` or has none; rows without come last. Other columns are carried;
+    no rows give no rows.
     """
     few_texts_a_batch(docs)
-    runs = repeated_runs(docs, min_words)
-    joined = docs.select("doc_id", as_row(docs.columns)).join(runs, "doc_id", "left")
+    rows = keyed(docs, "rows")
+    joined = rows.join(repeated_runs(rows, min_words), "place", "left")
     return joined.select("row", _without(F.col("row.text"), F.col("runs")).alias("found"))
 
 

@@ -66,7 +66,7 @@ def op9_line_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     path = token_files.write_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return token_files.read_ids(token_files.find_keys(docs.select("doc_id"), path), path)
+    return token_files.read_ids(token_files.find_keys(docs.select("doc_id").distinct(), path), path)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

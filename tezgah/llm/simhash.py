@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tezgah.llm.common import few_texts_a_batch, partitions
+from tezgah.llm.common import few_texts_a_batch, keyed, partitions, rank
 from tezgah.llm.components import connected_components
 from tezgah.sources.shared import stored
 
@@ -136,6 +136,13 @@ def near_links(prints: DataFrame, bits: int = MAX_BITS, block: int = BLOCK) -> D
     return sorted_cells.mapInArrow(lambda batches: _links(batches, bits), "a long, b long").distinct()
 
 
+def _rooted(prints: DataFrame, order: Column, bits: int) -> DataFrame:
+    """``(fp, least, root)`` of every fingerprint: the least ``order`` of its rows, and the root of its component."""
+    nodes = stored(prints.groupBy("fp").agg(F.min(order).alias("least")), "nodes")
+    tied = connected_components(near_links(nodes.select("fp"), bits)).withColumnRenamed("node", "fp")
+    return nodes.join(tied, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
     """``(doc_id, fp, component_id)`` for every row of ``docs (doc_id, text)``.
 
@@ -149,17 +156,19 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGL
     """
     few_texts_a_batch(docs)
     prints = stored(docs.select("doc_id", fingerprints(F.col("text"), shingle).alias("fp")), "fingerprints")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    tied = connected_components(near_links(nodes.select("fp"), bits)).withColumnRenamed("node", "fp")
-    roots = nodes.join(tied, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    roots = _rooted(prints, F.col("doc_id"), bits)
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(roots.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def first_of_each(docs: DataFrame, bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
-    """The documents without near duplicates: of each component the one of least ``doc_id`` stays.
+    """The documents without near duplicates: of each component exactly one row stays, the one of least ``doc_id``.
 
-    Rows without ``doc_id`` stay; rows repeating the ``doc_id`` that stays stay too.
+    Each row is a document of its own, also if it repeats a ``doc_id``; rows
+    without one come last.
     """
-    gone = near_duplicates(docs, bits, shingle).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    few_texts_a_batch(docs)
+    rows = keyed(docs, "rows")
+    prints = stored(rows.select(rank(F.col("row.doc_id"), F.col("row.text"), F.col("place")).alias("rank"), fingerprints(F.col("row.text"), shingle).alias("fp")), "fingerprints")
+    stay = _rooted(prints, F.col("rank"), bits).groupBy("root").agg(F.min("least").alias("least")).select("least.place")
+    return rows.join(stay, "place", "left_semi").select(*[F.col(f"row.`{c}`") for c in docs.columns])

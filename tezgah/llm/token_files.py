@@ -151,11 +151,13 @@ def _index_writer(path: str):
 
         def close() -> pa.RecordBatch:
             key, shard, first, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            hashed = PerfectHash.of(key)
+            hashed = PerfectHash.of(np.unique(key))
             slots = hashed.slot(key)
-            order = np.argsort(slots)
+            order = np.lexsort((first, slots))  # a key's rows side by side
+            heads = order[np.flatnonzero(np.diff(slots[order], prepend=-1))]
+            rows = np.bincount(slots)
             file = io.BytesIO()
-            np.savez(file, bits=np.packbits(hashed.bits), n_bits=len(hashed.bits), starts=hashed.starts, prints=_prints(key[order]), shard=shard[order], first=first[order], n_ids=n[order])
+            np.savez(file, bits=np.packbits(hashed.bits), n_bits=len(hashed.bits), starts=hashed.starts, prints=_prints(key[heads]), rows=rows, shard=shard[order], first=first[order], n_ids=n[order])
             _put(path, f"index-{bucket}.npz", file.getvalue())
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([len(key)], pa.int64())], ["bucket", "n"])
@@ -179,8 +181,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, dtype
     """Writes the data set and returns its folder.
 
     ``docs`` has ``doc_id`` and ``text``; NULL texts are empty. Rows without
-    ``doc_id`` have no key and are left out; of rows that repeat a key the one
-    of the least text is written. No rows make a data set without shards. Other
+    ``doc_id`` have no key and are left out; rows that repeat a key are all
+    written, one after the other by text, and found together. No rows make a data set without shards. Other
     columns are ignored.
     """
     spark = docs.sparkSession
@@ -190,8 +192,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, dtype
     keyed = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     count = shards or partitions(spark)
     ordered = keyed.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id", "text")
-    first = ordered.mapInArrow(_first_of_key, "doc_id long, text string").select("doc_id", "text", F.spark_partition_id().alias("shard"))
-    written = first.mapInArrow(_shard_writer(path, tokenizer, dtype), INDEX)
+    written = ordered.select("doc_id", "text", F.spark_partition_id().alias("shard")).mapInArrow(_shard_writer(path, tokenizer, dtype), INDEX)
     index_path = f"{path}/written.parquet"
     written.write.parquet(index_path)
     entries = spark.read.schema(INDEX).parquet(index_path)
@@ -203,17 +204,6 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str | None = None, dtype
     return path
 
 
-def _first_of_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key the first of each; equal keys are in one partition."""
-    last = None
-    for batch in batches:
-        keys = batch.column("doc_id").to_numpy()
-        if len(keys):
-            new = np.r_[keys[0] != last if last is not None else True, keys[1:] != keys[:-1]]
-            last = keys[-1]
-            yield batch if new.all() else batch.filter(pa.array(new))
-
-
 def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     @F.pandas_udf("long")
     def of(keys: pd.Series) -> pd.Series:
@@ -232,15 +222,17 @@ class Index:
     def __init__(self, path: str, bucket: int) -> None:
         with np.load(io.BytesIO(_get(path, f"index-{bucket}.npz"))) as file:
             self.hash = PerfectHash(np.unpackbits(file["bits"], count=int(file["n_bits"])).astype(bool), file["starts"])
-            self.prints, self.shard, self.first, self.n_ids = (file[x] for x in ("prints", "shard", "first", "n_ids"))
+            self.prints, self.rows, self.shard, self.first, self.n_ids = (file[x] for x in ("prints", "rows", "shard", "first", "n_ids"))
+        self.begins = np.cumsum(self.rows) - self.rows
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Whether each key is there, its shard, place and number of ids."""
+        """Of each row of the keys that are there: its key, shard, place and number of ids."""
         slots = self.hash.slot(keys)
         there = slots >= 0
         there[there] = self.prints[slots[there]] == _prints(keys[there])
-        at = slots[there]
-        return there, self.shard[at], self.first[at], self.n_ids[at]
+        slots, rows = slots[there], self.rows[slots[there]]
+        at = np.repeat(self.begins[slots] - (np.cumsum(rows) - rows), rows) + np.arange(rows.sum())
+        return np.repeat(keys[there], rows), self.shard[at], self.first[at], self.n_ids[at]
 
 
 def _finder(path: str):
@@ -253,14 +245,14 @@ def _finder(path: str):
                 if buckets[a] != bucket:
                     bucket = int(buckets[a])
                     index = Index(path, bucket)
-                there, shard, first, n = index.find(keys[a:b])
-                yield pa.RecordBatch.from_arrays([pa.array(keys[a:b][there]), pa.array(shard), pa.array(first), pa.array(n)], ["key", "shard", "first", "n_ids"])
+                key, shard, first, n = index.find(keys[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(shard), pa.array(first), pa.array(n)], ["key", "shard", "first", "n_ids"])
 
     return find
 
 
 def find_keys(keys: DataFrame, path: str) -> DataFrame:
-    """``(key, shard, first, n_ids)`` of each key that the data set has, by its index files alone."""
+    """``(key, shard, first, n_ids)`` of each row of each key that the data set has, by its index files alone."""
     manifest = open_manifest(path)
     spark = keys.sparkSession
     if not manifest["shards"]:
