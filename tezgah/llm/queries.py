@@ -1,4 +1,4 @@
-"""The queries of the ten operators and the pipeline, each over its whole tables."""
+"""The queries of the thirteen operators and the pipeline, each over its whole tables."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tezgah.llm import chat, decontaminate, line_dedup, lm_score, packing, pii, quality_lines, simhash, token_files, toxicity
+from tezgah.llm import chat, decontaminate, line_dedup, lm_score, packing, pii, quality_lines, resample, sharding, simhash, token_files, toxicity, turn_repair
 from tezgah.llm.common import table
 from tezgah.llm.oracle import ORACLE_SQL
 
@@ -69,11 +69,25 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.read_ids(token_files.find_keys(docs.select("doc_id").distinct(), path), path)
 
 
+def op11_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return turn_repair.report(turn_repair.damaged(conversations), conversations)
+
+
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_cross_entropy_difference, op3_suffix_decontamination, op4_toxicity, op5_perspectives,
         op6_bin_completion, op7_winnowed_lines, op8_surrogates, op9_line_quality, op10_token_files,
+        op11_turn_repair, op12_resample, op13_hilbert_shards,
     )
 } | {"pipeline": corpus_pipeline.run}
 
