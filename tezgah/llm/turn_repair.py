@@ -349,7 +349,7 @@ def _said(rows: DataFrame, traced: DataFrame) -> DataFrame:
     own = F.struct(F.when(F.col("edit.role") == "", F.col("role")).otherwise(F.col("edit.role")).alias("role"), F.col("text").alias("text"))
     kept = F.when(F.col("edit.role").isNull(), F.array().cast("array<struct<role:string,text:string>>")).otherwise(F.array(own))
     said = F.concat(empty(F.col("edit.before")), kept, empty(F.col("edit.after")))
-    return rows.join(edits, "place").select(*_KEYS, "place", said.alias("said")).where(F.size("said") > 0)
+    return rows.join(edits.hint("merge"), "place").select(*_KEYS, "place", said.alias("said")).where(F.size("said") > 0)
 
 
 def _digests(said: DataFrame) -> DataFrame:
