@@ -10,6 +10,7 @@ the pieces of a length, and gives each piece its place from the plan.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,41 +44,52 @@ def _fits_into(items: tuple[int, ...], room: tuple[int, ...]) -> bool:
     return False
 
 
-def completions(sizes: list[int], left: np.ndarray, room: int, waste: int, width: int = WIDTH) -> list[tuple[int, ...]]:
+def completions(sizes: list[int], left: np.ndarray, room: int, waste: int, width: int = WIDTH) -> list[Filling]:
     """Undominated fillings of ``room`` that waste no more than ``waste``, best fit first.
 
-    ``sizes`` are the lengths left, falling, and ``left[s]`` how many. A filling
-    is dominated if its pieces could be dealt into another's. Fillings are met
-    with long pieces first, and no more than ``width`` full ones are kept.
+    ``sizes`` are the lengths left, falling, and ``left[s]`` how many. A length is
+    taken with its multiplicity in one step, most first, so a filling of thousands
+    of equal short pieces is one step. A filling is dominated if another piece fits
+    in what it leaves, or if its pieces could be dealt into another's. No more than
+    ``width`` full ones are kept.
     """
-    found: list[tuple[int, ...]] = []
-    best = waste
-    tried = 0
-
-    def fill(at: int, rest: int, taken: tuple[int, ...]) -> None:
-        nonlocal best, tried
-        tried += 1
-        grew = False
-        for k in range(int(np.searchsorted(falling, -rest, "left")) if at == 0 or falling[at] < -rest else at, len(sizes)):
-            s = sizes[k]
-            if s > rest:
-                continue
-            if left[s] > taken.count(s):
-                grew = True
-                fill(k, rest - s, (*taken, s))
-                if tried > 40 * width or len(found) >= width and best == 0:
-                    return
-        if not grew and rest <= waste:
-            best = min(best, rest)
-            found.append(taken)
-
     falling = [-s for s in sizes]
-    fill(0, room, ())
-    found = sorted(set(found), key=lambda f: (-sum(f), len(f), tuple(-x for x in f)))[:width]
-    kept: list[tuple[int, ...]] = []
-    for f in found:
-        if len(f) > 6 or not any(len(g) <= 6 and _fits_into(f, g) for g in kept):
-            kept.append(f)
+    many = [int(left[s]) for s in sizes]
+    behind = [*np.cumsum([s * n for s, n in zip(sizes[::-1], many[::-1], strict=True)])[::-1].tolist(), 0]
+    found: list[Filling] = []
+    full = tried = 0
+    stack: list[tuple[int, int, Filling, int | None]] = [(0, room, (), None)]
+    while stack and tried <= 80 * width and full < width:
+        k, rest, taken, times = stack.pop()
+        if times is None:  # the next length that fits, as often as it does
+            tried += 1
+            k = max(k, bisect_left(falling, -rest))
+            if k == len(sizes):
+                held = dict(taken)
+                if rest <= waste and not any(s <= rest and n > held.get(s, 0) for s, n in zip(sizes[bisect_left(falling, -rest) :], many[bisect_left(falling, -rest) :], strict=True)):
+                    found.append(taken)
+                    full += rest == 0
+                continue
+            times = min(many[k], rest // sizes[k])
+        if rest - behind[k] > waste:  # all that is left behind doesn't fill it
+            continue
+        if times:
+            stack.append((k, rest, taken, times - 1))
+            stack.append((k + 1, rest - times * sizes[k], (*taken, (sizes[k], times)), None))
+        else:
+            stack.append((k + 1, rest, taken, None))
+    used = {f: sum(s * n for s, n in f) for f in set(found)}
+    count = {f: sum(n for _, n in f) for f in used}
+    ranked = sorted(used, key=lambda f: (-used[f], count[f], tuple((-s, -n) for s, n in f)))[:width]
+    kept: list[Filling] = []
+    short: list[tuple[int, ...]] = []
+    for f in ranked:
+        if count[f] <= 6:
+            pieces = tuple(s for s, n in f for _ in range(n))
+            if any(_fits_into(pieces, g) for g in short):
+                continue
+            short.append(pieces)
+        kept.append(f)
     return kept
 
 
@@ -98,7 +110,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, w
     best, best_bins = None, None
     chosen: list[tuple[Filling, int]] = []
     used, rest, seen = 0, total, 0
-    stack: list[list[tuple[int, ...]]] = []
+    stack: list[list[Filling]] = []
 
     def undo() -> None:
         nonlocal used, rest
@@ -108,7 +120,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, w
             rest += s * times * m
         used -= m
 
-    def options() -> list[tuple[int, ...]]:
+    def options() -> list[Filling]:
         sizes = [int(s) for s in np.flatnonzero(left)[::-1]]
         first = sizes[0]
         left[first] -= 1
@@ -117,7 +129,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, w
         waste = capacity if best_bins is None else (best_bins - 1) * capacity - used * capacity - rest
         fillings = completions(sizes, left, capacity - first, min(waste, capacity - first), width)
         left[first] += 1
-        return [(first, *f) for f in fillings][::-1]
+        return [((first, 1 + f[0][1]), *f[1:]) if f and f[0][0] == first else ((first, 1), *f) for f in fillings][::-1]
 
     while True:
         if rest == 0 and (best_bins is None or used < best_bins):
@@ -135,8 +147,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, w
                 undo()
         if not stack:
             return best or []
-        pieces = stack[-1].pop()
-        filling = tuple((s, pieces.count(s)) for s in dict.fromkeys(pieces))
+        filling = stack[-1].pop()
         m = int(min(left[s] // times for s, times in filling))
         for s, times in filling:
             left[s] -= times * m
