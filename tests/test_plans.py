@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tezgah.operators.lookups import _spread, point_in_time
-from tezgah.plans.kpi import daily_store_kpi
-from tezgah.plans.marts import category_performance, customer_rfm
+from tezgah.plans.kpi import KPI, daily_store_kpi
+from tezgah.plans.marts import category_performance, customer_rfm, sales_daily, store_kpi_monthly
 from tezgah.plans.sales import SALES
 from tezgah.sources.demo_model import AS_OF, DemoModel
 from tezgah.sources.warehouse import Warehouse
@@ -54,7 +54,7 @@ def test_category_report_shuffles_keys_and_not_text(model, warehouse):
         warehouse.read(SALES), model.calendar, model.store, model.product, model.category, model.region
     )
     text = plan(report)
-    grouped = [line for line in text.splitlines() if "Aggregate" in line and "transaction_id" in line and "keys=" in line]
+    grouped = [line for line in text.splitlines() if "Aggregate" in line and "_receipt" in line and "keys=" in line]
     assert grouped and all("department_name" not in line.split("functions=")[0] for line in grouped)
 
 
@@ -129,3 +129,45 @@ def test_a_hot_store_is_split_in_the_version_join(spark):
         assert "skew=true" in plan(joined)
     finally:
         _restore(spark, before)
+
+
+def _garble(wh, table, but):
+    """Makes every file of the table unreadable but those of one month."""
+    for path in {p for p in wh.read(table).inputFiles() if f"year_month={but}" not in p}:
+        with open(path.removeprefix("file://"), "wb") as file:
+            file.write(b"not a Parquet file")
+
+
+def test_a_month_filter_on_reports_opens_that_month_only(spark, model):
+    wh = Warehouse(spark)
+    wh.append(SALES, model.sales)
+    wh.replace("dim.date", model.calendar)
+    days = wh.read("dim.date")
+    rest = (model.store, model.product, model.category)
+    daily = sales_daily(wh.read(SALES), days, *rest, model.customer, model.campaign, model.region).filter("yil = 1998 AND month_number = 7")
+    category = category_performance(wh.read(SALES), days, *rest, model.region).filter("year_number = 1998 AND month_number = 7")
+    one_day = sales_daily(wh.read(SALES), days, *rest, model.customer, model.campaign, model.region).filter("full_date = DATE '1998-07-15'")
+    expected = [sorted(map(str, frame.collect())) for frame in (daily, category, one_day)]
+    assert all(expected)
+    for frame in (daily, category, one_day):
+        assert "dynamicpruning" in plan(frame)
+    _garble(wh, SALES, 199807)
+    with pytest.raises(Exception, match="Checksum|not a Parquet file"):
+        wh.read(SALES).agg(F.sum("quantity")).collect()
+    again = [sorted(map(str, frame.filter("1 = 1").collect())) for frame in (daily, category, one_day)]
+    assert again == expected
+
+
+def test_the_monthly_report_prunes_months(spark, model):
+    wh = Warehouse(spark)
+    wh.append(KPI, daily_store_kpi(model.stored_sales, model.customer))
+    wh.replace("dim.date", model.calendar)
+    report = store_kpi_monthly(wh.read(KPI), wh.read("dim.date"), model.store, model.region).filter("yil = 1998 AND month_number = 7")
+    expected = sorted(map(str, report.collect()))
+    _garble(wh, KPI, 199807)
+    assert expected and sorted(map(str, report.filter("1 = 1").collect())) == expected
+
+
+def test_the_category_report_scans_the_lines_once(model):
+    text = plan(category_performance(model.sales, model.calendar, model.store, model.product, model.category, model.region))
+    assert sum("lineitem.parquet" in line for line in text.splitlines()) == 1

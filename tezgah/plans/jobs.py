@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tezgah import dictionaries
 from tezgah.functions.calendar import date_range, dim_date
-from tezgah.functions.expressions import UNKNOWN
+from tezgah.functions.expressions import UNKNOWN, date_key, month_key
 from tezgah.functions.literals import literal_rows
 from tezgah.operators.dedupe import insert_skip_conflicts
 from tezgah.operators.scd import CUSTOMER, EMPLOYEE, PRODUCT, STORE, Parent, ScdSpec, scd1_upsert, scd2_apply
@@ -24,10 +24,11 @@ from tezgah.plans.batches import BatchLog
 from tezgah.plans.campaigns import PERFORMANCE, campaign_performance
 from tezgah.plans.inventory import INVENTORY, inventory_snapshot
 from tezgah.plans.kpi import KPI, daily_store_kpi, generated
-from tezgah.plans.sales import SALES, bulk_load, incremental_sales
+from tezgah.plans.rejects import RejectStore
+from tezgah.plans.sales import ALWAYS_AFTER, ALWAYS_BEFORE, SALES, bulk_load, incremental_sales
 from tezgah.schemas import TABLES, shaped
 from tezgah.sources.csv_files import read_csv
-from tezgah.sources.shared import cut
+from tezgah.sources.shared import cut, stored
 from tezgah.sources.warehouse import Warehouse
 
 # Source systems as the batch log names them.
@@ -59,6 +60,7 @@ class Jobs:
         self.wh = warehouse
         self.spark: SparkSession = warehouse.spark
         self.log = BatchLog(self.spark, warehouse.root)
+        self.rejects = RejectStore(self.log)
 
     # Dictionaries, calendar, unknown members --------------------------------
 
@@ -95,9 +97,7 @@ class Jobs:
         with self.log.batch("load_dim_date", "dim.date", "FULL_LOAD", SYSTEM, start, end) as batch:
             days = dim_date(date_range(self.spark, start, end), holidays)
             known = self.wh.read("dim.date").select("date_id")
-            fresh = cut(days.join(known, "date_id", "left_anti"))
-            self.wh.append("dim.date", fresh)
-            batch.count(inserted=fresh.count())
+            batch.count(inserted=self.wh.append("dim.date", days.join(known, "date_id", "left_anti"))["rows"])
 
     # Dimensions ------------------------------------------------------------------
 
@@ -105,10 +105,9 @@ class Jobs:
         """Overwrites region, category or campaign rows by business key."""
         with self.log.batch(f"scd1_{table.split('.')[1]}", table, "FULL_LOAD", ERP) as batch:
             target = self.wh.read(table)
-            rows = cut(scd1_upsert(target, staged, key, TABLES[table].sequence, defaults))
-            before, after = target.count(), rows.count()
-            self.wh.replace(table, rows)
-            batch.count(inserted=after - before, updated=staged.count() - (after - before))
+            before, given = target.count(), staged.count()
+            after = self.wh.replace(table, scd1_upsert(target, staged, key, TABLES[table].sequence, defaults))["rows"]
+            batch.count(inserted=after - before, updated=given - (after - before))
 
     def scd2(
         self, spec: ScdSpec, staged: DataFrame, effective: date | None = None, hash_null: str = "skip"
@@ -159,11 +158,29 @@ class Jobs:
                 staged, read("dim.store"), read("dim.product"), read("dim.customer"),
                 read("dim.employee"), read("dim.campaign"),
                 watermark_from=start, watermark_to=end,
-                existing=read(SALES, _day(start), _day(end)), batch_id=batch.id,
+                existing=read(SALES, _day(start), _day(end)), batch_id=batch.id, shared=True,
             )
-            self.wh.append(SALES, load.rows)
-            written = read(SALES, _day(start), _day(end)).filter(F.col("etl_batch_id") == batch.id)
-            batch.count(inserted=written.count(), rejected=load.rejects.count())
+            rejected = self.rejects.write(load.rejects, batch.id)
+            written = self.wh.append(SALES, load.rows)["rows"]
+            batch.count(inserted=written, rejected=rejected)
+
+    def replay_rejects(self) -> None:
+        """Loads the rejects whose store and product have become known; the others wait on, with their reason of today."""
+        with self.log.batch("replay_rejects", SALES, "INCREMENTAL", DW) as batch:
+            read = self.wh.read
+            waiting = stored(self.rejects.waiting(), "waiting")
+            months = waiting.agg(F.count("*").alias("n"), F.collect_set(month_key(date_key("transaction_datetime"))).alias("months")).first()
+            load = incremental_sales(
+                waiting.drop("reject_reason", "rejected_at", "etl_batch_id"),
+                read("dim.store"), read("dim.product"), read("dim.customer"),
+                read("dim.employee"), read("dim.campaign"),
+                watermark_from=ALWAYS_AFTER, watermark_to=ALWAYS_BEFORE,
+                existing=read(SALES).filter(F.col("year_month").isin(months["months"])), batch_id=batch.id, shared=True,
+            )
+            rejected = self.rejects.write(load.rejects, batch.id)
+            written = self.wh.append(SALES, load.rows)["rows"]
+            self.rejects.replayed(waiting.select("etl_batch_id").distinct(), batch.id)
+            batch.count(extracted=months["n"], inserted=written, rejected=rejected)
 
     def bulk_sales(self, staged: DataFrame) -> None:
         """First fill of the sales fact, with the keys of today."""
@@ -173,8 +190,7 @@ class Jobs:
                 staged, read("dim.store"), read("dim.product"), read("dim.customer"),
                 read("dim.campaign"), existing=read(SALES), batch_id=batch.id,
             )
-            self.wh.append(SALES, rows)
-            batch.count(inserted=read(SALES).filter(F.col("etl_batch_id") == batch.id).count())
+            batch.count(inserted=self.wh.append(SALES, rows)["rows"])
 
     def refresh_daily_kpi(
         self,
@@ -189,8 +205,7 @@ class Jobs:
                 self.wh.read(SALES, start, end), self.wh.read("dim.customer"), start, end,
                 targets=targets, batch_id=batch.id,
             )
-            self.wh.replace_window(KPI, rows, start, end)
-            batch.count(inserted=self.wh.read(KPI, start, end).count())
+            batch.count(inserted=self.wh.replace_window(KPI, rows, start, end)["in_window"])
 
     def load_daily_kpi(self, rows: DataFrame) -> None:
         """First fill of the KPI fact from POS figures by store id, current stores only."""
@@ -206,8 +221,7 @@ class Jobs:
             zero = ["return_amount", "units_returned", "return_transaction_count", "loyalty_customers"]
             filled = shaped(generated(keyed.withColumns({c: F.lit(0) for c in zero})), KPI)
             fresh = insert_skip_conflicts(self.wh.read(KPI), filled, ["date_id", "store_sk"], [])
-            self.wh.append(KPI, fresh)
-            batch.count(inserted=self.wh.read(KPI).filter(F.col("etl_batch_id") == batch.id).count())
+            batch.count(inserted=self.wh.append(KPI, fresh)["rows"])
 
     def refresh_inventory(self, days: Sequence[date]) -> None:
         """Replaces the stock snapshots of the given days."""
@@ -219,10 +233,9 @@ class Jobs:
             )
             existing = self.wh.read(INVENTORY, first, last)
             ids = [d.year * 10000 + d.month * 100 + d.day for d in days]
-            others = existing.filter(~F.col("date_id").isin(ids))
-            self.wh.replace_window(INVENTORY, others.unionByName(rows), first, last)
-            mine = self.wh.read(INVENTORY, first, last).filter(F.col("etl_batch_id") == batch.id)
-            batch.count(inserted=mine.count())
+            others = shaped(existing.filter(~F.col("date_id").isin(ids)), INVENTORY)
+            mine = F.count_if(F.col("etl_batch_id") == batch.id)
+            batch.count(inserted=self.wh.replace_window(INVENTORY, others.unionByName(rows), first, last, mine=mine)["mine"])
 
     def refresh_campaign_performance(self) -> None:
         """Recomputes every campaign x store row; rows no longer produced stay."""

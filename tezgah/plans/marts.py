@@ -57,6 +57,14 @@ def _goods(products: DataFrame, categories: DataFrame, history: str) -> DataFram
     return _current(products, history).join(kinds, "category_sk")
 
 
+def _dated(facts: DataFrame, days: DataFrame) -> DataFrame:
+    """Facts with attributes of their day. Over a table partitioned by month the month is a key too, so that a filter on the calendar prunes months."""
+    if "year_month" not in facts.columns:
+        return facts.join(F.broadcast(days), "date_id")
+    keyed = days.withColumn("year_month", F.expr("date_id div 100").cast("int"))
+    return facts.join(F.broadcast(keyed), ["date_id", "year_month"]).drop("year_month")
+
+
 def sales_daily(
     sales: DataFrame, calendar: DataFrame, stores: DataFrame, products: DataFrame,
     categories: DataFrame, customers: DataFrame, campaigns: DataFrame, regions: DataFrame,
@@ -99,6 +107,7 @@ def sales_daily(
     lines = sales.select(
         "transaction_id", "transaction_type_id", "payment_method_id", "line_number",
         "date_id", "store_sk", "product_sk", "customer_sk", "campaign_sk",
+        *[c for c in sales.columns if c == "year_month"],
         *[F.col(c).alias(n) for c, n in measures.items()],
     )
     types = _small(sales, "d_transaction_type").select(
@@ -109,7 +118,7 @@ def sales_daily(
     )
     spread = ("transaction_id", "line_number")
     wide = (
-        lines.join(F.broadcast(named(calendar, "date_id", days)), "date_id")
+        _dated(lines, named(calendar, "date_id", days))
         .join(types, "transaction_type_id")
         .join(methods, "payment_method_id", "left")
         .join(named(_sites(stores, regions, history), "store_sk", site), "store_sk")
@@ -156,14 +165,19 @@ def store_kpi_monthly(
         "store_sk", "store_id", "store_code", "store_name", F.col("format_name").alias("format"),
         F.col("city").alias("sehir"), F.col("nuts2_name").alias("bolge"), "cluster", "store_sqm",
     )
-    joined = kpi.join(F.broadcast(days), "date_id").join(sites, "store_sk")
-    rolled = joined.groupBy(*month, *site).agg(
-        *[F.sum(c).alias(n) for c, n in sums.items()],
+    added = [*sums, *means]
+    per_version = _dated(kpi, days).groupBy(*month, "store_sk").agg(
+        *[F.sum(c).alias(f"_sum_{c}") for c in added],
         # sum and count of the exact decimals; the mean itself is taken in DOUBLE
-        *[F.sum(c).alias(f"_sum_{n}") for c, n in means.items()],
-        *[F.count(c).alias(f"_n_{n}") for c, n in means.items()],
+        *[F.count(c).alias(f"_n_{c}") for c in means],
+        F.collect_set("date_id").alias("_days"),  # 31 at most
+    )
+    rolled = per_version.join(sites, "store_sk").groupBy(*month, *site).agg(
+        *[F.sum(f"_sum_{c}").alias(n) for c, n in sums.items()],
+        *[F.sum(f"_sum_{c}").alias(f"_sum_{n}") for c, n in means.items()],
+        *[F.sum(f"_n_{c}").alias(f"_n_{n}") for c, n in means.items()],
         F.max("store_sqm").alias("_sqm"),
-        F.count_distinct("date_id").alias("calisilan_gun_sayisi"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("_days")))).cast("bigint").alias("calisilan_gun_sayisi"),
     )
     return rolled.select(
         *month, *site,
@@ -231,7 +245,7 @@ def category_performance(
     """Profit and loss by month, category, store format and region: 23 columns.
 
     Grouping by fourteen attributes would carry all their text through the
-    shuffles of two distinct counts. Month and category travel as integer
+    shuffle of two distinct counts. Month and category travel as integer
     keys instead and get their attributes back on the result rows.
     """
     attributes = [
@@ -256,8 +270,7 @@ def category_performance(
     month = ["year_number", "fiscal_year", "month_number", "month_name_tr", "quarter_name"]
     days = calendar.select("date_id", "year_number", "month_number")
     lines = (
-        sales.filter(F.col("transaction_type_id").isin(type_ids("affects_revenue")))
-        .join(F.broadcast(days), "date_id")
+        _dated(sales.filter(F.col("transaction_type_id").isin(type_ids("affects_revenue"))), days)
         .join(items.select("product_sk", "_kind"), "product_sk")
         .join(sites, "store_sk")
     )
@@ -266,18 +279,17 @@ def category_performance(
         "quantity": "satilan_adet", "net_sales_amount": "net_satis", "cogs_amount": "maliyet",
         "gross_margin_amount": "brut_kar", "discount_amount": "indirim",
     }
-    # Two distinct counts in one aggregate would triple every line; receipts and products fold apart instead.
+    # Lines fold once into two kinds of rows, per receipt (with the sums) and per product; their counts are the distinct counts.
     digits = {n: 3 if c == "quantity" else 2 for c, n in measures.items()}
-    receipts = lines.groupBy(*group, "transaction_id").agg(
-        *[F.sum(minor_units(c, digits[n])).alias(n) for c, n in measures.items()]
-    )
-    sums = receipts.groupBy(*group).agg(
-        F.count("transaction_id").alias("islem_sayisi"),
+    amounts = [minor_units(c, digits[n]).alias(n) for c, n in measures.items()]
+    receipt = F.struct(F.lit(True).alias("_receipt"), F.col("transaction_id").alias("_id"), *amounts)
+    product = F.struct(F.lit(False).alias("_receipt"), F.col("product_sk").cast("bigint").alias("_id"), *[F.lit(None).cast("bigint").alias(n) for n in measures.values()])
+    folded = lines.select(*group, F.inline(F.array(receipt, product))).groupBy(*group, "_receipt", "_id").agg(*[F.sum(n).alias(n) for n in measures.values()])
+    totals = folded.groupBy(*group).agg(
+        F.count_if("_receipt").alias("islem_sayisi"),
+        F.count_if(~F.col("_receipt")).alias("urun_cesidi"),
         *[major_units(F.sum(n), digits[n]).alias(n) for n in measures.values()],
     )
-    variety = lines.select(*group, "product_sk").distinct().groupBy(*group).agg(F.count("*").alias("urun_cesidi"))
-    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"v.{c}")) for c in group]
-    totals = sums.alias("t").join(variety.alias("v"), reduce(and_, same)).select("t.*", "urun_cesidi")
     months = calendar.select(*month).distinct()
     named = totals.join(F.broadcast(months), ["year_number", "month_number"]).join(shared, "_kind")
     return named.select(

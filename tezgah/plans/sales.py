@@ -12,10 +12,12 @@ from tezgah.functions.expressions import UNKNOWN, date_key, ntz, sales_measures
 from tezgah.operators.dedupe import insert_skip_conflicts
 from tezgah.operators.lookups import current_key, point_in_time
 from tezgah.schemas import shaped
+from tezgah.sources.shared import stored
 
 SALES = "fact.sales_transaction"
 SALES_KEY = ("transaction_id", "line_number", "date_id", "source_system")
 LINE = ("transaction_id", "line_number")
+ALWAYS_AFTER, ALWAYS_BEFORE = "0001-01-01 00:00:00", "9999-12-31 00:00:00"
 # Which of several copies of a receipt line is kept.
 FIRST_COPY = ("product_id", "store_id", "quantity", "discount_amount", "vat_amount")
 
@@ -65,16 +67,20 @@ def incremental_sales(
     existing: DataFrame | None = None,
     batch_id: int | None = None,
     loaded_at: Column | None = None,
+    shared: bool = False,
 ) -> SalesLoad:
     """One incremental load over ``(watermark_from, watermark_to]``.
 
     Store and product are looked up as of the sale, customer, employee and
     campaign as of now. Lines without store or product are rejected. Of the
     rest one copy per receipt line and day is kept, unless ``existing`` has
-    that line already. Loading the same window twice adds nothing.
+    that line already. Loading the same window twice adds nothing. ``shared``
+    writes the looked-up lines once for both outputs; else each is a plan of its own.
     """
     window = in_window(staged, watermark_from, watermark_to)
     resolved = resolve_versions(window, stores, products)
+    if shared:
+        resolved = stored(resolved, "resolved")
     no_store, no_product = F.col("store_sk").isNull(), F.col("product_sk").isNull()
 
     rejects = resolved.filter(no_store | no_product).select(

@@ -27,6 +27,7 @@ from tezgah.plans.jobs import Jobs
 from tezgah.plans.kpi import KPI, daily_store_kpi, pos_daily_kpi, with_targets
 from tezgah.plans.kpi import kpi_catalog as catalog_job
 from tezgah.plans.kpi import kpi_inventory as stock_kpi_job
+from tezgah.plans.rejects import RejectStore
 from tezgah.plans.sales import FIRST_COPY, LINE, SALES, bulk_load, resolve_versions
 from tezgah.schemas import shaped
 from tezgah.sources.csv_files import manifest, read_csv, write_csv
@@ -107,7 +108,7 @@ def scan_partition_window(m: DemoModel) -> DataFrame:
     """A date window of the stored fact; only its months are opened."""
     wh = Warehouse(m.spark)
     wh.append(SALES, m.sales)
-    return wh.read(SALES, date(1998, 6, 15), date(1998, 8, 14)).drop("gross_margin_pct")
+    return wh.read(SALES, date(1998, 6, 15), date(1998, 8, 14)).drop("gross_margin_pct", "year_month")
 
 
 # Dictionaries, dimensions ------------------------------------------------------
@@ -313,10 +314,30 @@ def etl_incremental_sales(m: DemoModel) -> DataFrame:
     return m.sales.select(*_FACT)
 
 
+_REJECTED = (*LINE, "date_id", "store_id", "product_id", "reject_reason")
+
+
 @_registered
 def etl_sales_rejects(m: DemoModel) -> DataFrame:
-    """Staged lines without a store or product version."""
-    return m.load().rejects.select(*LINE, "date_id", "store_id", "product_id", "reject_reason")
+    """Staged lines without a store or product version, as the reject store holds them after a load."""
+    log_of = log.BatchLog(m.spark, Warehouse(m.spark).root)
+    store = RejectStore(log_of)
+    with log_of.batch("incremental_sales", SALES, "INCREMENTAL", "POS") as batch:
+        batch.count(rejected=store.write(m.load().rejects, batch.id))
+    return store.waiting().select(*_REJECTED)
+
+
+@_registered
+def etl_rejects_replayed(m: DemoModel) -> DataFrame:
+    """A load before every fifth store is known, then those stores arrive and the rejects are loaded."""
+    wh = Warehouse(m.spark)
+    jobs = Jobs(wh)
+    for name, frame in (_dimensions(m) | {"dim.store": m.store.filter("store_id % 5 <> 0")}).items():
+        wh.replace(name, frame)
+    jobs.incremental_sales(m.stg_sales, BEFORE_ALL, AFTER_ALL)
+    wh.replace("dim.store", m.store)
+    jobs.replay_rejects()
+    return wh.read(SALES).select(*_FACT)
 
 
 @_registered
@@ -579,9 +600,8 @@ def etl_full_run(m: DemoModel) -> DataFrame:
     return wh.read(KPI).select(*_KPI)
 
 
-@_registered
-def stream_incremental_sales(m: DemoModel) -> DataFrame:
-    """The staged sales delivered in three drops and loaded by the stream."""
+def _streamed(m: DemoModel) -> Warehouse:
+    """The staged sales delivered in three drops, the middle one twice, and loaded by the stream."""
     wh = Warehouse(m.spark)
     landing, checkpoint = scratch_path(m.spark, "landing"), scratch_path(m.spark, "stream")
     moment, staged = F.col("transaction_datetime"), stored(m.stg_sales, "staged")
@@ -589,5 +609,19 @@ def stream_incremental_sales(m: DemoModel) -> DataFrame:
     for after, upto in zip([BEFORE_ALL, *ends], ends):
         drop = staged.filter((moment > F.lit(after)) & (moment <= F.lit(upto)))
         drop.write.mode("append").parquet(landing)
+        if upto == ends[1]:
+            drop.write.mode("append").parquet(landing)
         stream_sales(m.spark, landing, checkpoint, wh, lambda: _dimensions(m))
-    return wh.read(SALES).select(*_FACT)
+    return wh
+
+
+@_registered
+def stream_incremental_sales(m: DemoModel) -> DataFrame:
+    """The sales loaded by the stream."""
+    return _streamed(m).read(SALES).select(*_FACT)
+
+
+@_registered
+def stream_rejects(m: DemoModel) -> DataFrame:
+    """The lines the stream could not place; a line delivered again with the same content is one."""
+    return RejectStore(log.BatchLog(m.spark, _streamed(m).root)).waiting().select(*_REJECTED)
