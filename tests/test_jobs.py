@@ -102,7 +102,8 @@ def test_nightly_run(spark, jobs):
     whole = daily_store_kpi(jobs.wh.read(SALES), jobs.wh.read("dim.customer"))
     columns = [c for c in whole.columns if not c.startswith("etl_")]
     assert sorted(jobs.wh.read(KPI).select(*columns).collect()) == sorted(whole.select(*columns).collect())
-    jobs.refresh_inventory([date(2024, 1, 15), date(2024, 1, 16)])
+    jobs.refresh_inventory([date(2024, 1, 15), date(2024, 1, 16)], literal_rows(spark, [(1, 1, D("40.000")), (7, 7, D("1.000"))],
+                           "store_id bigint, product_id bigint, quantity decimal(12,3)"))
     jobs.refresh_inventory([date(2024, 1, 16)])
     stock = {r["date_id"]: r["stock_qty"] for r in jobs.wh.read("fact.inventory_snapshot").collect()}
     assert stock == {20240115: D("37.000"), 20240116: D("37.000")}

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from tezgah.operators.dedupe import insert_skip_conflicts
 from tezgah.operators.scd import CUSTOMER, EMPLOYEE, PRODUCT, STORE, Parent, ScdSpec, scd1_upsert, scd2_apply
 from tezgah.plans.batches import BatchLog
 from tezgah.plans.campaigns import PERFORMANCE, campaign_performance
-from tezgah.plans.inventory import INVENTORY, inventory_snapshot
+from tezgah.plans.inventory import INVENTORY, StockStates, days_read, stock_states, valued
 from tezgah.plans.kpi import KPI, daily_store_kpi, generated
 from tezgah.plans.rejects import RejectStore
 from tezgah.plans.sales import ALWAYS_AFTER, ALWAYS_BEFORE, SALES, bulk_load, incremental_sales
@@ -61,6 +62,7 @@ class Jobs:
         self.spark: SparkSession = warehouse.spark
         self.log = BatchLog(self.spark, warehouse.root)
         self.rejects = RejectStore(self.log)
+        self.stock = StockStates(self.log)
 
     # Dictionaries, calendar, unknown members --------------------------------
 
@@ -223,14 +225,21 @@ class Jobs:
             fresh = insert_skip_conflicts(self.wh.read(KPI), filled, ["date_id", "store_sk"], [])
             batch.count(inserted=self.wh.append(KPI, fresh)["rows"])
 
-    def refresh_inventory(self, days: Sequence[date]) -> None:
-        """Replaces the stock snapshots of the given days."""
+    def refresh_inventory(self, days: Sequence[date], opening: DataFrame | None = None) -> None:
+        """Replaces the stock snapshots of the given days, starting from the last state that still holds.
+
+        ``opening`` (store_id, product_id, quantity) is what was counted before the first
+        sale. It is kept for later refreshes; giving it anew starts from the first sale.
+        """
         first, last = min(days), max(days)
         with self.log.batch("refresh_inventory", INVENTORY, "TRUNCATE_INSERT", DW, first, last) as batch:
-            rows = inventory_snapshot(
-                self.wh.read(SALES, None, last), self.wh.read("dim.store"),
-                self.wh.read("dim.product"), days, batch_id=batch.id,
-            )
+            counted = self.stock.opening(opening, batch.id)
+            earlier = self.stock.before(first) if opening is None else None
+            spans = [self.wh.read(SALES, low, high) for low, high in days_read(last, earlier.day if earlier else None)]
+            stores, products = self.wh.read("dim.store"), self.wh.read("dim.product")
+            states = stored(stock_states(reduce(DataFrame.unionByName, spans), stores, products, days, opening=counted, earlier=earlier), "states")
+            self.stock.write(states, batch.id)
+            rows = valued(states, stores, products, batch_id=batch.id)
             existing = self.wh.read(INVENTORY, first, last)
             ids = [d.year * 10000 + d.month * 100 + d.day for d in days]
             others = shaped(existing.filter(~F.col("date_id").isin(ids)), INVENTORY)

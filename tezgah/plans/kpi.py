@@ -218,8 +218,8 @@ def kpi_inventory(
 
     Cost of goods and shrinkage are those of the year up to the snapshot day,
     and the turn divides by the average stock value of that year's snapshots.
-    Snapshot days are few and the day list is bounded by the calendar, so
-    each fact line meets only the snapshot days that look back on it.
+    Sales fold per store and day; running totals over a store's days then answer
+    any number of snapshot days by two lookups each.
     """
     sites = stores.select("store_sk", "store_id")
     stock = (
@@ -240,25 +240,28 @@ def kpi_inventory(
     kind = F.col("transaction_type_id")
     daily = (
         sales.filter(kind.isin(SALE, SHRINKAGE))
-        .groupBy(F.col("date_id").alias("sold_on"), "store_sk")
+        .groupBy("date_id", "store_sk")
         .agg(
-            exact_sum(F.when(kind == SALE, F.col("cogs_amount")).otherwise(0)).alias("cogs"),
-            exact_sum(F.when(kind == SHRINKAGE, F.col("quantity")).otherwise(0), 3).alias("shrinkage"),
+            F.sum(F.when(kind == SALE, minor_units("cogs_amount")).otherwise(0)).alias("cogs"),
+            F.sum(F.when(kind == SHRINKAGE, minor_units("quantity", 3)).otherwise(0)).alias("shrinkage"),
         )
+        .join(sites, "store_sk")
+        .groupBy("store_id", F.unix_date(F.to_date(F.col("date_id").cast("string"), "yyyyMMdd")).alias("_nth"))
+        .agg(F.sum("cogs").alias("cogs"), F.sum("shrinkage").alias("shrinkage"))
     )
-    taken = snapshot.select("date_id").distinct().join(calendar.select("date_id", "full_date"), "date_id")
-    lookback = taken.select(
-        "date_id", F.explode(F.sequence(F.date_sub("full_date", 364), F.col("full_date"))).alias("_day")
-    ).select("date_id", (F.year("_day") * 10000 + F.month("_day") * 100 + F.dayofmonth("_day")).alias("sold_on"))
+    # A year's figure is the total up to its last day less that up to the day before its first.
+    none = F.lit(0).cast("bigint")
+    ends = F.array(*[F.struct((F.col("_nth") - back).alias("_nth"), F.lit(sign).alias("_sign")) for back, sign in ((0, 1), (365, -1))])
+    asked = dated.select("store_id", "date_id", F.inline(ends)).select("*", none.alias("cogs"), none.alias("shrinkage"))
+    known = daily.select("store_id", F.lit(None).cast("int").alias("date_id"), "_nth", F.lit(0).alias("_sign"), "cogs", "shrinkage")
+    upto = Window.partitionBy("store_id").orderBy("_nth").rangeBetween(Window.unboundedPreceding, 0)  # a row per day, and two per snapshot
+    totals = known.unionByName(asked).withColumns({c: F.sum(c).over(upto) for c in ("cogs", "shrinkage")})
     flow = (
-        daily.join(lookback, "sold_on")
-        .groupBy("date_id", "store_sk")
-        .agg(F.sum("cogs").alias("cogs"), F.sum("shrinkage").alias("shrinkage"))
-        .join(sites, "store_sk")
+        totals.filter("_sign <> 0")
         .groupBy("date_id", "store_id")
-        .agg(F.sum("cogs").alias("cogs"), F.sum("shrinkage").alias("shrinkage"))
+        .agg(*[major_units(F.sum(F.col(c) * F.col("_sign")), n).alias(c) for c, n in (("cogs", 2), ("shrinkage", 3))])
     )
-    joined = stock.join(flow, ["date_id", "store_id"], "left").fillna(0, ["cogs", "shrinkage"])
+    joined = stock.join(flow, ["date_id", "store_id"])
     values = {
         "STOCKOUT_RATE": guarded_ratio("stockouts", "skus", per=100),
         "INVENTORY_TURN": guarded_ratio("cogs", "average_value"),

@@ -22,6 +22,7 @@ from tezgah.operators.scd import CUSTOMER, PRODUCT, STORE, Parent, classify, scd
 from tezgah.plans import batches as log
 from tezgah.plans import marts
 from tezgah.plans.campaigns import campaign_performance as campaigns_job
+from tezgah.plans.inventory import INVENTORY
 from tezgah.plans.inventory import inventory_snapshot as inventory_job
 from tezgah.plans.jobs import Jobs
 from tezgah.plans.kpi import KPI, daily_store_kpi, pos_daily_kpi, with_targets
@@ -392,7 +393,27 @@ def _key(day: date) -> int:
 @_registered
 def inventory_snapshot(m: DemoModel) -> DataFrame:
     """Stock of every store and product on two days."""
-    return inventory_job(m.sales, m.store, m.product, SNAPSHOT_DAYS)
+    return inventory_job(m.sales, m.store, m.product, SNAPSHOT_DAYS, counted=m.counted())
+
+
+BETWEEN = date(1998, 8, 15)
+
+
+@_registered
+def inventory_incremental(m: DemoModel) -> DataFrame:
+    """The same stock, refreshed in three steps, of which each reads on from the state of the one before."""
+    wh = Warehouse(m.spark)
+    jobs = Jobs(wh)
+    for name, frame in _dimensions(m).items():
+        wh.replace(name, frame)
+    wh.append(SALES, m.sales)
+    pairs = m.stored_sales.select("store_sk", "product_sk").distinct().join(m.store.select("store_sk", "store_id"), "store_sk")
+    pairs = pairs.join(m.product.select("product_sk", "product_id"), "product_sk").select("store_id", "product_id").distinct()
+    first, last = SNAPSHOT_DAYS
+    jobs.refresh_inventory([first], opening=pairs.withColumn("quantity", m.counted().cast("decimal(12,3)")))
+    for day in (BETWEEN, last):
+        jobs.refresh_inventory([day])
+    return wh.read(INVENTORY).drop("year_month")
 
 
 @_registered
@@ -454,7 +475,7 @@ def mart_store_kpi_monthly(m: DemoModel) -> DataFrame:
 
 @_registered
 def mart_inventory_alert(m: DemoModel) -> DataFrame:
-    stock = inventory_job(m.sales, m.store, m.product, SNAPSHOT_DAYS)
+    stock = inventory_job(m.sales, m.store, m.product, SNAPSHOT_DAYS, counted=m.counted())
     return marts.inventory_alert(stock, m.calendar, m.store, m.product, m.category, m.region)
 
 
@@ -483,7 +504,7 @@ def kpi_catalog(m: DemoModel) -> DataFrame:
 
 @_registered
 def kpi_inventory(m: DemoModel) -> DataFrame:
-    stock = stored(inventory_job(m.stored_sales, m.store, m.product, SNAPSHOT_DAYS), "stock")
+    stock = stored(inventory_job(m.stored_sales, m.store, m.product, SNAPSHOT_DAYS, counted=m.counted()), "stock")
     return stock_kpi_job(stock, m.stored_sales, m.store, m.calendar)
 
 

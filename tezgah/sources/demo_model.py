@@ -313,6 +313,11 @@ class DemoModel:
         """The loaded fact as a plan: for reports that pass over it once."""
         return self.load().rows
 
+    @staticmethod
+    def counted() -> Column:
+        """What the demo's stores had of a product before their first sale, as no count is in the tables."""
+        return 20 + (F.col("store_id") * 13 + F.col("product_id") * 7) % 60
+
     @cached_property
     def stored_sales(self) -> DataFrame:
         """The loaded fact as a written table: for jobs that pass over it repeatedly."""
