@@ -158,3 +158,39 @@ def test_campaign_performance(spark):
     assert row["incremental_sales"] == D("26.00") and row["total_discount_given"] == D("2.00")
     assert row["campaign_roi_pct"] == D("1200.0000")
     assert (row["unique_customers"], row["new_customers"], row["participating_sku_count"]) == (2, 1, 1)
+
+
+def test_a_campaign_refresh_reads_its_days_and_keeps_first_purchases(spark, monkeypatch):
+    from tezgah.plans.campaigns import PERFORMANCE
+    from tezgah.plans.jobs import Jobs
+    from tezgah.plans.sales import SALES
+    from tezgah.sources.warehouse import Warehouse
+
+    at = lambda month, day: datetime(2024, month, day, 9)
+    bought = [
+        {"transaction_id": 1, "customer_id": 5, "campaign_id": 30, "transaction_datetime": at(1, 12)},
+        {"transaction_id": 2, "customer_id": 6, "campaign_id": 30, "transaction_datetime": at(1, 13)},
+        {"transaction_id": 3, "customer_id": 7, "transaction_datetime": at(5, 13)},
+    ]
+    jobs = Jobs(Warehouse(spark))
+    for name, frame in {"dim.store": stores(spark, ONE_STORE), "dim.product": products(spark, ONE_PRODUCT), "dim.customer": customers(spark, [5, 6, 7]),
+                        "dim.employee": employees(spark), "dim.campaign": campaigns(spark)}.items():
+        jobs.wh.replace(name, frame)
+
+    def refreshed():
+        opened, real = [], Warehouse.read
+        monkeypatch.setattr(Warehouse, "read", lambda self, table, *days: (opened.append(days) if table == SALES else None, real(self, table, *days))[1])
+        jobs.refresh_campaign_performance()
+        monkeypatch.setattr(Warehouse, "read", real)
+        assert (date(2023, 12, 31), date(2024, 1, 19)) in opened
+        row = jobs.wh.read(PERFORMANCE).first()
+        whole = campaign_performance(jobs.wh.read(SALES), jobs.wh.read("dim.store"), jobs.wh.read("dim.campaign")).first()
+        assert {**row.asDict(), "etl_loaded_at": None} == {**whole.asDict(), "etl_loaded_at": None}
+        return row["unique_customers"], row["new_customers"]
+
+    jobs.incremental_sales(staged(spark, bought), "2023-01-01", "2025-01-01")
+    assert refreshed() == (2, 2)
+    # a sale of the year before comes in late: customer 6 was no new one
+    jobs.incremental_sales(staged(spark, [{"transaction_id": 9, "customer_id": 6, "transaction_datetime": datetime(2023, 3, 1, 9)}]), "2023-01-01", "2024-01-01")
+    assert refreshed() == (2, 1)
+    assert refreshed() == (2, 1)

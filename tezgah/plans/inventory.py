@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tezgah.dictionaries import SALE, type_ids
-from tezgah.functions.expressions import date_key, major_units, minor_units
+from tezgah.functions.expressions import date_key, major_units, minor_units, ntz
 from tezgah.operators.lookups import point_in_time
 from tezgah.plans.batches import BatchLog
 from tezgah.plans.sales import SALES
@@ -193,17 +193,17 @@ class StockStates:
     def before(self, day: date) -> Earlier | None:
         """The latest state before ``day`` that still holds.
 
-        It no longer does if sales of its day or earlier came in since: any later load
-        whose log row reaches back so far, or doesn't say how far.
+        It no longer does if sales of its day or earlier came in since: any load that is
+        later, or ended later, and reaches back so far or doesn't say how far.
         """
         log = self.log.batches().filter("status = 'SUCCESS'")
         known = self._all().select("as_of", "batch_id").distinct().filter(F.col("as_of") < int(f"{day:%Y%m%d}"))
-        newest = known.join(log.select("batch_id"), "batch_id").orderBy(F.desc("as_of"), F.desc("batch_id")).limit(NEWEST).collect()
+        newest = known.join(log.select("batch_id", "start_time"), "batch_id").orderBy(F.desc("as_of"), F.desc("batch_id")).limit(NEWEST).collect()
         if not newest:
             return None
         reaches = F.coalesce(F.col("watermark_from").cast("date"), F.lit("0001-01-01").cast("date"))
         loads = log.filter(F.col("target_table") == SALES)
-        back = loads.agg(*[F.min(F.when(F.col("batch_id") > row["batch_id"], reaches)).alias(f"b{i}") for i, row in enumerate(newest)]).first()
+        back = loads.agg(*[F.min(F.when((F.col("batch_id") > row["batch_id"]) | (F.col("end_time") >= ntz(row["start_time"])), reaches)).alias(f"b{i}") for i, row in enumerate(newest)]).first()
         for row, reached in zip(newest, back, strict=True):
             at = date(row["as_of"] // 10000, row["as_of"] // 100 % 100, row["as_of"] % 100)
             if reached is None or reached > at:

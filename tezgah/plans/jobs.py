@@ -22,7 +22,7 @@ from tezgah.functions.literals import literal_rows
 from tezgah.operators.dedupe import insert_skip_conflicts
 from tezgah.operators.scd import CUSTOMER, EMPLOYEE, PRODUCT, STORE, Parent, ScdSpec, scd1_upsert, scd2_apply
 from tezgah.plans.batches import BatchLog
-from tezgah.plans.campaigns import PERFORMANCE, campaign_performance
+from tezgah.plans.campaigns import PERFORMANCE, FirstPurchases, campaign_performance, days_used
 from tezgah.plans.inventory import INVENTORY, StockStates, days_read, stock_states, valued
 from tezgah.plans.kpi import KPI, daily_store_kpi, generated
 from tezgah.plans.rejects import RejectStore
@@ -249,11 +249,11 @@ class Jobs:
     def refresh_campaign_performance(self) -> None:
         """Recomputes every campaign x store row; rows no longer produced stay."""
         with self.log.batch("refresh_campaigns", PERFORMANCE, "TRUNCATE_INSERT", DW) as batch:
-            rows = cut(
-                campaign_performance(
-                    self.wh.read(SALES), self.wh.read("dim.store"), self.wh.read("dim.campaign")
-                )
-            )
+            campaigns = self.wh.read("dim.campaign")
+            used = days_used(campaigns)
+            first = FirstPurchases(self.log).upto(self.wh.read(SALES), batch.id)
+            sales = self.wh.read(SALES, *used) if used else self.wh.read(SALES).limit(0)
+            rows = cut(campaign_performance(sales, self.wh.read("dim.store"), campaigns, first=first))
             key = ["campaign_sk", "store_sk"]
             others = self.wh.read(PERFORMANCE).join(rows.select(*key), key, "left_anti")
             self.wh.replace(PERFORMANCE, others.unionByName(rows))
