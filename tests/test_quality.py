@@ -1,22 +1,55 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import ALWAYS, stores
+from tezgah.dictionaries import dictionary
 from tezgah.functions.literals import literal_rows
 from tezgah.operators import quality
 from tezgah.schemas import shaped
+from tezgah.sources.shared import scratch_path
 
 
 def found(frame):
     return {(r["table_name"], r["rule"]): r["violations"] for r in frame.collect() if r["violations"]}
 
 
+def parents(spark):
+    """The tables that stores and KPIs refer to, with the rows they need."""
+    days = shaped(literal_rows(spark, [(20240101,), (20240102,)], "date_id int"), "dim.date")
+    return {
+        "dim.date": days, "dim.region": shaped(literal_rows(spark, [(1, 1)], "region_sk bigint, region_id bigint"), "dim.region"),
+        "dict.d_day_type": dictionary(spark, "d_day_type"), "dict.d_store_format": dictionary(spark, "d_store_format"),
+    }
+
+
+def test_keys_of_several_columns_and_nulls_are_told_apart(spark):
+    rows = [("a", "bc"), ("ab", "c"), (None, "x"), (None, "x"), ("-", "x"), ("1:a", "b"), ("1:a", "b"), ("1:a", "b")]
+    frame = literal_rows(spark, rows, "p string, q string")
+    counts = sorted(r["count"] for r in frame.groupBy(quality._value(["p", "q"])).count().collect())
+    assert counts == [1, 1, 1, 2, 3]
+
+
+def test_all_references_of_a_table_come_from_one_scan(spark):
+    kpi = shaped(literal_rows(spark, [(1, 20240101, 11)], "kpi_sk bigint, date_id int, store_sk bigint"), "fact.daily_store_kpi")
+    path = scratch_path(spark, "kpi")
+    kpi.write.parquet(path)
+    sites = stores(spark, [(11, 1, ALWAYS, None, True, 1)])
+    frames = parents(spark) | {"dim.store": sites, "fact.daily_store_kpi": spark.read.schema(kpi.schema).parquet(path)}
+    for job in (quality.orphans, quality.duplicate_keys):
+        text = job(frames)._jdf.queryExecution().executedPlan().toString()
+        assert sum("FileScan" in line for line in text.splitlines()) == 1
+
+
 def test_duplicates_and_orphans(spark):
     sites = stores(spark, [(11, 1, ALWAYS, None, True, 1), (11, 2, ALWAYS, None, True, 1), (11, 3, ALWAYS, None, True, 1)])
     kpi = literal_rows(spark, [(1, 20240101, 11), (2, 20240101, 11), (3, 20240102, 99), (4, 20240102, 98)],
                        "kpi_sk bigint, date_id int, store_sk bigint")
     frames = {"dim.store": sites, "fact.daily_store_kpi": shaped(kpi, "fact.daily_store_kpi")}
+    with pytest.raises(ValueError, match="dict.d_store_format, dim.region"):
+        quality.orphans(frames)
+    frames |= parents(spark)
     assert found(quality.duplicate_keys(frames)) == {
         ("dim.store", "store_sk"): 2, ("fact.daily_store_kpi", "date_id,store_sk"): 1,
     }

@@ -8,12 +8,13 @@ zero where it holds.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tezgah.functions.literals import literal_rows
 from tezgah.operators.lookups import OPEN_END
 from tezgah.schemas import TABLES
 
@@ -24,12 +25,6 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _rule(df: DataFrame, table: str, rule: str, violations: Column) -> DataFrame:
-    return df.agg(F.coalesce(violations, F.lit(0)).cast("bigint").alias("violations")).select(
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"
-    )
-
-
 def _one_pass(df: DataFrame, table: str, breaches: Mapping[str, Column]) -> DataFrame:
     """One scan per table: all its rules are conditional sums, then unpivoted."""
     sums = df.agg(*[F.count_if(breach).alias(rule) for rule, breach in breaches.items()])
@@ -38,34 +33,63 @@ def _one_pass(df: DataFrame, table: str, breaches: Mapping[str, Column]) -> Data
     )
 
 
-def duplicate_keys(frames: Frames) -> DataFrame:
-    """Rows beyond the first per primary or unique key."""
+def _value(columns: Sequence[str]) -> Column:
+    """The columns as one string; different values, NULLs among them, give different strings."""
     parts = []
+    for c in columns:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.concat(*parts)
+
+
+def _counted(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """``(rule, value, n)``: one scan stacks the values of all rules, one aggregate folds them; NULLs go."""
+    stacked = df.select(F.inline(F.array(*[F.struct(F.lit(rule).alias("rule"), value.alias("value")) for rule, value in rules.items()])))
+    return stacked.filter(F.col("value").isNotNull()).groupBy("rule", "value").agg(F.count("*").alias("n"))
+
+
+def _every(found: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """``found`` with zero for the rules it has no row of."""
+    names = literal_rows(found.sparkSession, list(rules), "table_name string, rule string")
+    filled = names.join(found, ["table_name", "rule"], "left")
+    return filled.select("table_name", "rule", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
+
+
+def duplicate_keys(frames: Frames) -> DataFrame:
+    """Rows beyond the first per primary or unique key; one scan and one fold per table."""
+    parts, rules = [], []
     for name, df in frames.items():
-        for key in (TABLES[name].primary_key, *TABLES[name].unique):
-            sizes = df.groupBy(*key).agg(F.count("*").alias("_n"))
-            parts.append(_rule(sizes, name, ",".join(key), F.sum(F.col("_n") - 1)))
-    return _union(parts)
+        keys = {",".join(key): key for key in (TABLES[name].primary_key, *TABLES[name].unique)}
+        repeated = _counted(df, {rule: _value(key) for rule, key in keys.items()}).filter("n > 1")
+        parts.append(repeated.select(F.lit(name).alias("table_name"), "rule", (F.col("n") - 1).alias("n")))
+        rules += [(name, rule) for rule in keys]
+    return _every(_union(parts).groupBy("table_name", "rule").agg(F.sum("n").alias("violations")), rules)
 
 
 def orphans(frames: Frames) -> DataFrame:
-    """Rows whose reference has no parent; NULL references pass.
+    """Rows whose reference has no parent; NULL references pass, an absent parent table raises.
 
-    Children fold to one row per value first: a value held by a third of the
-    rows is one row in the join.
+    One scan of a table emits all its references, folded to one row per value before
+    they meet the parents: a value held by a third of the rows is one row there. All
+    references meet all parents' keys in one join.
     """
-    parts = []
+    used, rules, wanted = [], [], set()
     for name, df in frames.items():
-        for column, parent, key in TABLES[name].references:
-            if parent not in frames:
-                continue
-            used = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ref")).agg(
-                F.count("*").alias("_n")
-            )
-            known = frames[parent].select(F.col(key).alias("_ref"))
-            lost = used.join(known, "_ref", "left_anti")
-            parts.append(_rule(lost, name, f"{column}->{parent}", F.sum("_n")))
-    return _union(parts)
+        references = {f"{column}->{parent}": (column, parent, key) for column, parent, key in TABLES[name].references}
+        absent = [parent for _, parent, _ in references.values() if parent not in frames]
+        if absent:
+            raise ValueError(f"{name} refers to tables that are not given: {', '.join(absent)}")
+        if references:
+            found = _counted(df, {rule: F.col(column).cast("string") for rule, (column, _, _) in references.items()})
+            parent = F.substring_index("rule", "->", -1).alias("parent")
+            used.append(found.select(F.lit(name).alias("table_name"), "rule", parent, "value", "n"))
+            rules += [(name, rule) for rule in references]
+            wanted |= {(parent, key) for _, parent, key in references.values()}
+    if not used:
+        return _every(literal_rows(next(iter(frames.values())).sparkSession, [], "table_name string, rule string, violations bigint"), [])
+    known = _union([frames[parent].select(F.lit(parent).alias("parent"), F.col(key).cast("string").alias("value")) for parent, key in sorted(wanted)])
+    lost = _union(used).join(known, ["parent", "value"], "left_anti")
+    return _every(lost.groupBy("table_name", "rule").agg(F.sum("n").alias("violations")), rules)
 
 
 def not_null(frames: Frames) -> DataFrame:

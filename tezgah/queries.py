@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tezgah import dictionaries
 from tezgah.functions.calendar import dim_date as calendar_of
 from tezgah.functions.expressions import attribute_hash, finite_or_null, guarded_ratio, sales_measures
 from tezgah.operators import quality
@@ -21,6 +22,7 @@ from tezgah.operators.ranking import Score, ntiles
 from tezgah.operators.scd import CUSTOMER, PRODUCT, STORE, Parent, classify, scd1_upsert, scd2_apply
 from tezgah.plans import batches as log
 from tezgah.plans import marts
+from tezgah.plans.campaigns import PERFORMANCE
 from tezgah.plans.campaigns import campaign_performance as campaigns_job
 from tezgah.plans.inventory import INVENTORY
 from tezgah.plans.inventory import inventory_snapshot as inventory_job
@@ -511,10 +513,21 @@ def kpi_inventory(m: DemoModel) -> DataFrame:
 # Quality ------------------------------------------------------------------------------
 
 
-def _checked(m: DemoModel) -> dict[str, DataFrame]:
-    """The tables as they stand before cleaning: sales as staged, with repeats."""
-    frames = {f"dict.{name}": m.dictionary(name) for name in ("d_store_format", "d_product_status",
-              "d_payment_method", "d_transaction_type", "d_day_type")}
+def _results(m: DemoModel) -> dict[str, DataFrame]:
+    """The results of the jobs, as stored tables with their digests as keys."""
+    jobs = {
+        KPI: daily_store_kpi(m.stored_sales, m.customer),
+        INVENTORY: inventory_job(m.stored_sales, m.store, m.product, SNAPSHOT_DAYS, counted=m.counted()),
+        PERFORMANCE: campaigns_job(m.stored_sales, m.store, m.campaign),
+    }
+    return {name: stored(rows, name.rpartition(".")[2]) for name, rows in jobs.items()}
+
+
+def _checked(m: DemoModel, results: bool = True) -> dict[str, DataFrame]:
+    """The 20 tables as they stand before cleaning: sales as staged, with repeats. ``results`` are those that jobs work out."""
+    frames = {f"dict.{name}": m.dictionary(name) for name in dictionaries.NAMES}
+    if results:
+        frames |= _results(m)
     sales = resolve_versions(m.stg_sales, m.store, m.product)
     sales = current_key(sales, m.customer, "customer_id", "customer_sk", LINE)
     sales = sales.withColumns(
@@ -539,6 +552,7 @@ def _checked(m: DemoModel) -> dict[str, DataFrame]:
         "dim.employee": m.employee,
         "dim.campaign": m.campaign,
         SALES: stored(shaped(sales, SALES), "unchecked"),
+        log.LOG: log.latest_state(m.log_steps),
     }
 
 
@@ -559,12 +573,12 @@ def dq_not_null(m: DemoModel) -> DataFrame:
 
 @_registered
 def dq_domain(m: DemoModel) -> DataFrame:
-    return quality.domain(_checked(m) | {log.LOG: log.latest_state(m.log_steps)})
+    return quality.domain(_checked(m, results=False))
 
 
 @_registered
 def dq_width(m: DemoModel) -> DataFrame:
-    return quality.width(_checked(m))
+    return quality.width(_checked(m, results=False))  # the results have no columns of a width
 
 
 @_registered
