@@ -119,8 +119,23 @@ def test_nightly_run(spark, jobs):
         frame = spark.read.parquet(f"{folder}/{name}")
         assert len(frame.columns) == width
         assert frame.count() == spark.sql(f"SELECT * FROM mart_{name}").count()
+    # the reports follow the tables
+    shown = "SELECT count(*) AS n FROM mart_v_sales_daily JOIN dim_store USING (store_id)"
+    before = views.sql(shown).first()["n"]
+    more = [{"transaction_id": 50 + i, "transaction_datetime": datetime(2024, 1, 16, 12)} for i in range(3)]
+    jobs.incremental_sales(staged(spark, more), "2024-01-16", "2024-01-17")
+    assert views.sql(shown).first()["n"] == before + 3 * 2  # the store has two versions
     # the sale bound to the closed store version is not shown
-    assert spark.sql("SELECT transaction_id FROM mart_v_sales_daily ORDER BY 1").collect() == [(2,), (3,)]
+    assert views.sql("SELECT transaction_id FROM mart_v_sales_daily WHERE transaction_id < 50 ORDER BY 1").collect() == [(2,), (3,)]
+
+
+def test_publishing_runs_no_job(spark, jobs):
+    broken = Jobs(Warehouse(spark))
+    broken.wh.read = None  # publishing reads nothing
+    reports = report_views(broken.wh, date(2024, 2, 1), "2024-02-01 00:00:00")
+    assert len(reports) == 6 and set(reports) >= {"v_customer_rfm"}
+    with pytest.raises(KeyError):
+        report_views(jobs.wh, date(2024, 2, 1), "2024-02-01 00:00:00")["v_none"]
 
 
 def test_a_failure_is_logged_and_raised(spark, jobs):

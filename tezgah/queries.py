@@ -30,6 +30,7 @@ from tezgah.plans.jobs import Jobs
 from tezgah.plans.kpi import KPI, daily_store_kpi, pos_daily_kpi, with_targets
 from tezgah.plans.kpi import kpi_catalog as catalog_job
 from tezgah.plans.kpi import kpi_inventory as stock_kpi_job
+from tezgah.plans.publish import report_views
 from tezgah.plans.rejects import RejectStore
 from tezgah.plans.sales import FIRST_COPY, LINE, SALES, bulk_load, resolve_versions
 from tezgah.schemas import shaped
@@ -469,6 +470,21 @@ def mart_sales_daily(m: DemoModel) -> DataFrame:
     )
 
 
+@_registered
+def mart_published(m: DemoModel) -> DataFrame:
+    """A statement over a published report, which shows what was appended after it was published."""
+    wh = Warehouse(m.spark)
+    tables = _dimensions(m) | {"dim.date": m.calendar, "dim.product_category": m.category, "dim.region": m.region}
+    for name, frame in tables.items():
+        wh.replace(name, frame)
+    reports = report_views(wh, AS_OF, NOW)
+    moment = F.col("transaction_datetime")
+    for part in (moment < F.lit(CHANGE), moment >= F.lit(CHANGE)):
+        wh.append(SALES, m.stored_sales.filter(part))
+        monthly = reports.sql("SELECT yil, month_number, departman, count(*) AS n, sum(adet) AS units FROM mart_v_sales_daily GROUP BY ALL")
+    return monthly
+
+
 @_registered
 def mart_store_kpi_monthly(m: DemoModel) -> DataFrame:
     kpi = with_targets(daily_store_kpi(m.stored_sales, m.customer))
