@@ -89,7 +89,7 @@ class Features:
         """``(text, bucket, words)`` of every feature, in groups; ``words`` of them are single words, in front."""
         for owner, fresh, words in self.groups(texts):
             coded = pa.array(words, pa.binary()).dictionary_encode()
-            code, different = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+            code, different = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
             alone = np.array([zlib.crc32(w) for w in different], np.uint32)
             second = np.array([zlib.crc32(b" " + w) for w in different], np.uint32)
             length = np.array([len(w) + 1 for w in different])

@@ -184,7 +184,7 @@ class Encoder:
             return [b""] * len(texts)
         pieces = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(b"".join(raws))])
         coded = pieces.dictionary_encode()
-        codes, different = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        codes, different = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         with self.held:
             self._learn(different)
             ids = [self.kept[p] for p in different]
