@@ -5,17 +5,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import ALWAYS, ONE_PRODUCT, ONE_STORE, campaigns, customers, employees, products, staged, stores
-from tezgah.operators.dedupe import insert_skip_conflicts, keep_first
+from tezgah.operators.dedupe import insert_skip_conflicts, keep_first, keep_first_stored, repeated
 from tezgah.plans.sales import bulk_load, incremental_sales
 
 FROM, TO = "2024-01-14 00:00:00", "2024-01-16 00:00:00"
 
 
-def load(spark, lines, store_rows=ONE_STORE, product_rows=ONE_PRODUCT, existing=None, window=(FROM, TO)):
+def load(spark, lines, store_rows=ONE_STORE, product_rows=ONE_PRODUCT, existing=None, window=(FROM, TO), shared=False):
     return incremental_sales(
         staged(spark, lines), stores(spark, store_rows), products(spark, product_rows),
         customers(spark, [5]), employees(spark), campaigns(spark),
-        watermark_from=window[0], watermark_to=window[1], existing=existing,
+        watermark_from=window[0], watermark_to=window[1], existing=existing, shared=shared,
     )
 
 
@@ -111,6 +111,43 @@ def test_keep_first_is_the_minimum_over_all_columns(spark):
     assert sorted(map(tuple, keep_first(frame, ["k"], ["o"]).collect())) == [(1, "a", 3), (2, "z", 1)]
 
 
+@pytest.mark.parametrize("sent", [0, 5, 1000])
+@pytest.mark.parametrize("share", [0, 3, 50, 100])
+def test_counting_keys_first_keeps_the_same_rows(spark, tmp_path, sent, share):
+    """Of 3,000 rows ``share`` % are copies of some key, a third of these of one key; keys may be NULL."""
+    copied = F.col("id") % 100 < share
+    key = F.when(copied & (F.col("id") % 3 == 0), 7).when(copied, F.col("id") % 211).otherwise(F.col("id") + 1000)
+    rows = spark.range(3000).select(
+        F.when(key % 97 != 5, key).alias("k"), (key % 2).alias("j"), F.xxhash64("id").alias("o"), F.col("id").cast("string").alias("rest")
+    )
+    rows.write.parquet(f"{tmp_path}/rows")
+    read = spark.read.parquet(f"{tmp_path}/rows")
+    got = keep_first_stored(read, ["k", "j"], ["o"], sent)
+    assert got.columns == read.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, keep_first(read, ["k", "j"], ["o"]).collect()))
+
+
+def test_keys_are_counted_by_a_narrow_hash_and_single_rows_pass_unshuffled(spark, tmp_path):
+    rows = spark.range(2000).select((F.col("id") % 1990).alias("k"), F.col("id").alias("o"), F.lit("wide").alias("rest"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    read = spark.read.parquet(f"{tmp_path}/rows")
+    count = repeated(read, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in count and "SortAggregate" not in count and "rest" not in count
+    got = keep_first_stored(read, ["k"], ["o"])
+    assert got.count() == 1990
+    whole = got._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in whole.splitlines() if " Exchange " in line]
+    assert whole.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in whole
+    assert len(exchanges) == 1 and "Exchange hashpartitioning(k" in exchanges[0]  # that of the copies
+
+
+def test_a_shared_load_gives_the_rows_of_a_lazy_one(spark):
+    lines = [{"transaction_id": i // 2, "quantity": D(str(1 + i % 3))} for i in range(40)] + [{"transaction_id": 99, "store_id": 9}]
+    lazy, shared = load(spark, lines), load(spark, lines, shared=True)
+    assert sorted(map(str, lazy.rows.drop("etl_loaded_at").collect())) == sorted(map(str, shared.rows.drop("etl_loaded_at").collect()))
+    assert sorted(map(str, lazy.rejects.collect())) == sorted(map(str, shared.rejects.collect()))
+
+
 @pytest.mark.parametrize("known, expected", [([], [1, 2]), ([(2, "x")], [1])])
 def test_insert_skips_known_keys(spark, known, expected):
     target = spark.createDataFrame(known, "k int, v string")

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tezgah.sources.shared import stored
+
+#: Hashes of repeated keys that are broadcast, 8 bytes each; beyond that whole rows are shuffled.
+SENT_HASHES = 1_000_000
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by ``order``, then by every other column.
@@ -23,11 +28,41 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return best.select(*[F.col(c) if c in keys else F.col(f"_best.{c}") for c in df.columns])
 
 
+def repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_mark``: the 64-bit hashes of keys that two or more rows have, by a count over the hash alone."""
+    counted = df.select(F.xxhash64(*keys).alias("_mark")).groupBy("_mark").agg(F.count("*").alias("_n"))
+    return counted.filter("_n > 1").select("_mark")
+
+
+def keep_first_stored(df: DataFrame, keys: Sequence[str], order: Sequence[str], sent: int = SENT_HASHES) -> DataFrame:
+    """As ``keep_first``, for rows read from storage, which it reads twice.
+
+    The minimum over a struct shuffles and sorts whole rows. Here a first pass
+    counts keys, opening their columns only. The hashes that came twice or
+    more are written out and counted: up to ``sent`` of them are broadcast, so
+    that all other rows pass without a shuffle and the minimum sees just the
+    copies, however many one key has. Beyond that most rows would have to be
+    shuffled anyway, and the minimum over all is the shorter way. Keys of
+    equal hash are told apart by the minimum itself. NULLs in a key are equal
+    to each other. Both ways give the same rows.
+    """
+    twice = stored(repeated(df, keys), "repeated")
+    if twice.count() > sent:
+        return keep_first(df, keys, order)
+    marked = df.withColumn("_mark", F.xxhash64(*keys))
+    single = marked.join(F.broadcast(twice), "_mark", "left_anti").select(*df.columns)
+    copies = marked.join(F.broadcast(twice), "_mark", "left_semi").select(*df.columns)
+    return single.unionByName(keep_first(copies, keys, order))
+
+
 def insert_skip_conflicts(
-    target: DataFrame | None, incoming: DataFrame, keys: Sequence[str], order: Sequence[str]
+    target: DataFrame | None, incoming: DataFrame, keys: Sequence[str], order: Sequence[str], in_storage: bool = False
 ) -> DataFrame:
-    """The rows of ``incoming`` to append: first per key, none already in ``target``."""
-    fresh = keep_first(incoming, keys, order)
+    """The rows of ``incoming`` to append: first per key, none already in ``target``.
+
+    ``in_storage`` says that ``incoming`` is read from storage, so that reading it twice costs no joins.
+    """
+    fresh = (keep_first_stored if in_storage else keep_first)(incoming, keys, order)
     if target is None:
         return fresh
     return fresh.join(target.select(*keys), list(keys), "left_anti")

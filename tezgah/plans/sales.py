@@ -75,7 +75,8 @@ def incremental_sales(
     campaign as of now. Lines without store or product are rejected. Of the
     rest one copy per receipt line and day is kept, unless ``existing`` has
     that line already. Loading the same window twice adds nothing. ``shared``
-    writes the looked-up lines once for both outputs; else each is a plan of its own.
+    writes the looked-up lines once for both outputs, and copies are then found
+    by their keys before whole lines are compared; else each output is a plan of its own.
     """
     window = in_window(staged, watermark_from, watermark_to)
     resolved = resolve_versions(window, stores, products)
@@ -97,7 +98,7 @@ def incremental_sales(
         {"date_id": date_key("transaction_datetime"), "source_system": F.lit("POS")}
     )
     # Lookups below give one key per line, so copies can go before them.
-    fresh = insert_skip_conflicts(existing, accepted, SALES_KEY, FIRST_COPY)
+    fresh = insert_skip_conflicts(existing, accepted, SALES_KEY, FIRST_COPY, in_storage=shared)
     fresh = current_key(fresh, customers, "customer_id", "customer_sk", LINE, default=UNKNOWN)
     fresh = current_key(fresh, employees, "employee_id", "employee_sk", LINE)
     fresh = current_key(fresh, campaigns, "campaign_id", "campaign_sk", LINE, default=UNKNOWN)
