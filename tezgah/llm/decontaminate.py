@@ -31,10 +31,11 @@ MATCH = "array<struct<item_id:long,item_pos:int,doc_pos:int,length:int>>"
 class TestBlock:
     """Benchmark items as word numbers, and the search keys of all their suffixes."""
 
-    def __init__(self, items: list[tuple[int, bytes | None]], window: int) -> None:
+    def __init__(self, items: list[tuple[int | None, bytes | None]], window: int) -> None:
         self.window, self.number, ids, spans = window, {}, [], []
+        self.names = [name for name, _ in items]
         at = 0
-        for item, text in items:
+        for item, (_, text) in enumerate(items):
             words = words_of(text)
             ids += [self.number.setdefault(w, len(self.number) + 1) for w in words] + [0]
             spans.append((item, at, len(words)))
@@ -99,13 +100,13 @@ def shard_matches(texts: list[bytes | None], tests: TestBlock) -> tuple[list[int
         length[alive] += 1
     doc = np.searchsorted(firsts, d, "right") - 1
     for k, i, p, at, n in zip(doc.tolist(), tests.item[query].tolist(), tests.pos[query].tolist(), (d - firsts[doc]).tolist(), length.tolist(), strict=True):
-        matches[k].append((i, p, at, n))
+        matches[k].append((tests.names[i], p, at, n))
     return sizes, matches
 
 
 def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[TestBlock]:
     """The items in blocks of about ``block_bytes``; one block at a time is on the driver."""
-    items = benchmark.where("item_id is not null").select("item_id", F.col("text").cast("binary").alias("text"))
+    items = benchmark.select("item_id", F.col("text").cast("binary").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
     for k in range(n):
@@ -119,8 +120,9 @@ def annotated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block
     A match is a run of words that a document shares with an item, of at least
     ``window`` words or of the whole of a shorter item, that neither side can
     extend. NULL and empty texts have no words and no matches, an item without
-    words matches nothing, rows of the benchmark without ``item_id`` are left
-    out. Repeated rows and repeated ids are matched row by row.
+    words matches nothing. Rows of the benchmark without ``item_id`` match like
+    others, with a NULL for the item. Repeated rows and repeated ids are matched
+    row by row; no rows give no rows.
     """
     few_texts_a_batch(docs)
     spark = docs.sparkSession
@@ -155,9 +157,14 @@ def covered(matches: Column) -> Column:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per document: words, words hit, the items that occur in it, and its longest match."""
+    """One row per document: words, words hit, the items that occur in it, and its longest match.
+
+    Items without ``item_id`` hit words and contaminate, but are not among the
+    items listed and counted, as they have no id to list. A document without
+    words has zeros and no longest match.
+    """
     found = annotated(docs, benchmark, window, keep=["doc_id"])
-    items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m.item_id.cast("string"))))
+    items = F.array_sort(F.array_distinct(F.array_compact(F.transform("matches", lambda m: m.item_id.cast("string")))))
     longest = F.reverse(F.sort_array(F.transform("matches", lambda m: F.struct(m["length"], m.item_id, m.item_pos, m.doc_pos))))
     return (
         found.select(F.col("row.doc_id").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"), covered(F.col("matches")).alias("n_hit"), items.alias("items"), F.get(longest, F.lit(0)).alias("longest"))
@@ -171,7 +178,7 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without any match, in their own columns."""
+    """The documents without any match, in their own columns; those without text stay, and no rows give no rows."""
     return annotated(docs, benchmark, window).where(F.size("matches") == 0).select("row.*")
 
 
