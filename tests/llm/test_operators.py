@@ -104,7 +104,8 @@ def test_decontamination_matches_brute_force(docs, benchmark, nothing, block_byt
         return re.findall("[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
     windows = {}
-    for item, text in [(r.item_id, r.text) for r in benchmark.collect() if r.item_id is not None]:
+    benchmark = benchmark.where("item_id is not null")  # those without are the next test's
+    for item, text in [(r.item_id, r.text) for r in benchmark.collect()]:
         w = words(text)
         for i in range(max(1, len(w) - 9) if w else 0):
             windows.setdefault(tuple(w[i : i + 10]), set()).add(item)
@@ -123,6 +124,22 @@ def test_decontamination_matches_brute_force(docs, benchmark, nothing, block_byt
     clean = decontaminate.clean(docs, benchmark)
     assert clean.columns == docs.columns and {3, 5, 6, 7}.isdisjoint({r.doc_id for r in clean.collect()})
     assert not decontaminate.report(nothing, benchmark).count()
+
+
+def test_items_without_an_id_contaminate_too(spark):
+    rows = [(1, f"{prose(61, 30)} {PASSAGE}"), (2, prose(62, 30)), (3, None), (4, PASSAGE + " " + LONG)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = PASSAGE.split()
+    items = spark.createDataFrame([(None, " ".join(words[:30])), (None, " ".join(words[20:45])), (7, LONG), (None, None)], "item_id long, text string")
+    out = {r.doc_id: r for r in decontaminate.report(docs, items).collect()}
+    none = hashlib.sha256(b"").hexdigest()
+    assert [(out[k].n_hit, out[k].n_items, out[k].contaminated) for k in (1, 2, 3, 4)] == [(45, 0, True), (0, 0, False), (0, 0, False), (345, 1, True)]
+    assert out[1].items_sha256 == none and out[4].items_sha256 == hashlib.sha256(b"7").hexdigest()
+    assert out[1].longest_item is None and out[1].longest_match == 30
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [2, 3]
+
+
+def test_decontamination_without_items(docs, benchmark, nothing):
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == len(TEXTS)
 
 
@@ -358,6 +375,48 @@ def test_surrogates_keep_kind_form_and_identity(spark, nothing):
     assert not pii.anonymized(nothing, b"k").count()
 
 
+def test_a_name_once_titled_is_replaced_wherever_its_text_has_it(spark):
+    text = "Mrs. Anna Smith wrote. Later Smith and Anna Smith came, and ANNA'S friend; a blacksmith, an anna. Mr. Smith's dog."
+    rows = [
+        (1, text), (2, "Anna and Smith, whom no title names."), (3, "MRS. KATE BROWN met señora Ana."),
+        (4, "I miss Paris for 5 ms Only."), (8, "MR. LEE SAID THE DOG IS THE DOG. The Dog of Lee"), (5, "Bearer abcDEF0123456789xyz. Born on 1980-05-12, at 12 Green Hill Road."),
+        (6, "dob: 3/11/1975"), (7, " ".join(f"Mr. Q{chr(97 + k % 26)}x{chr(97 + k // 26)}" for k in range(600)) + " Qaxa" * 5000),
+    ]
+    frame = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, row string, place long")
+    out = {r.doc_id: (r.text, r.n_entities) for r in pii.anonymized(frame, b"k").select("row.doc_id", "text", "n_entities").collect()}
+    m = re.fullmatch(r"Mrs\. (\w+) (\w+) wrote\. Later (\w+) and (\w+) (\w+) came, and (\w+)'S friend; a blacksmith, an anna\. Mr\. (\w+)'s dog\.", out[1][0])
+    assert m and m[2] == m[3] == m[5] == m[7] != "Smith" and m[1] == m[4] != "Anna"
+    assert out[2] == (rows[1][1], 0) and out[4] == (rows[3][1], 0)
+    new = out[3][0].split()
+    assert "KATE" not in new and "Ana." not in new and new[1].isupper() and new[2].isupper()
+    secret, date, address = re.fullmatch(r"Bearer (\S+) Born on (\d{4}-\d\d-\d\d), at (\d\d [A-Z]\w+ [A-Z]\w+) Road\.", out[5][0]).groups()
+    assert "abcDEF" not in secret and date != "1980-05-12" and int(date[5:7]) <= 12 and address != "12 Green Hill"
+    assert re.fullmatch(r"dob: \d/\d\d/\d{4}", out[6][0]) and out[6][0] != "dob: 3/11/1975"
+    assert out[8][1] == 2 and out[8][0].endswith(out[8][0].split()[1].capitalize()) and "SAID THE DOG IS THE DOG. The Dog of" in out[8][0]
+    assert out[7][1] == 5600 and "Qaxa" not in out[7][0] and len(set(out[7][0].split()[1:1200:2])) == 600
+
+
+def test_surrogates_agree_with_brute_force_over_the_corpus(spark):
+    """Equal entities have one surrogate everywhere, different ones different ones, and what lies between stays."""
+    rng = np.random.default_rng(9)
+    people = [f"{a}{b}" for a in ("Ar", "Be", "Co", "Du", "Em") for b in ("ra", "so", "ti", "vo")]
+    rows = []
+    for k in range(120):
+        name, other = rng.choice(people, 2)
+        rows.append((k, f"x{k} Mr. {name} sent {name.lower()}@{other.lower()}.org, then {name} left 10.0.{k % 7}.{k % 11}."))
+    out = {r.doc_id: r.text for r in pii.anonymized(spark.createDataFrame(rows, "doc_id long, text string"), b"k").select("row.doc_id", "text").collect()}
+    form = re.compile(r"x(\d+) Mr\. (\S+) sent (\S+@\S+), then (\S+) left (\S+)\.")
+    to, back = {}, {}
+    for k, text in rows:
+        was, now = form.fullmatch(text).groups(), form.fullmatch(out[k]).groups()
+        assert was[0] == now[0] and now[1] == now[3]
+        for kind, a, b in zip("nmxi", was[1:], now[1:], strict=True):
+            kind = "n" if kind == "x" else kind
+            assert to.setdefault((kind, a), b) == b and back.setdefault((kind, b), a) == a
+    both = set(to) & set(back)  # no surrogate is itself an entity
+    assert not both
+
+
 def test_surrogates_of_what_draws_cannot_change_or_separate(spark):
     odd = ["********", "βγδεζ", "密码密码", "((((((((", "----"]
     rows = [(k, f"password: {x}") for k, x in enumerate(odd)] + [(10, "token = 0000 ")]

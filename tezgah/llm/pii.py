@@ -4,7 +4,9 @@ Entities are found in whole texts, brought to one form, and each different one
 gets a surrogate from a keyed hash: digits for digits, letters for letters of
 the same script and case, names for names of the same gender. Surrogates are
 checked over the whole corpus: no two entities of a kind share one, and none is
-itself an entity of the corpus; those that fail are drawn again. What still
+itself an entity of the corpus; those that fail are drawn again. A name found
+beside a title is known in its whole document: each other mention of it there,
+without a title too, gets the same surrogate. What still
 fails after ``DRAWS`` draws is numbered, and its surrogate tells the number, in
 a longer form where the entity's own has too little room (see ``numbered``). So
 what was the same stays the same, and what was different stays different.
@@ -12,6 +14,7 @@ what was the same stays the same, and what was different stays different.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -19,7 +22,7 @@ import unicodedata
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +41,16 @@ WIDE = 18
 MALE = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Signor", "господин", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Signora", "госпожа", "г-жа")
 NEUTRAL = ("Dr", "Prof", "Professor", "доктор")
+#: Titles that are other words too, or units, where they are in small letters.
+NOT_IN_SMALL = {"miss", "ms", "sir", "sr", "sra", "prof"}
+#: Words that have a capital where a sentence starts, and are no part of a name beside a title.
+NOT_NAMES = {
+    "a", "after", "also", "an", "and", "as", "at", "because", "before", "but", "by", "for", "from", "had", "has", "have", "he", "her",
+    "his", "how", "i", "if", "in", "is", "it", "its", "later", "my", "no", "not", "of", "on", "or", "our", "said", "she", "since",
+    "so", "that", "the", "their", "then", "there", "these", "they", "this", "to", "was", "we", "were", "what", "when", "where",
+    "which", "while", "who", "why", "will", "with", "yes", "you", "your",
+} | {t.lower() for t in (*MALE, *FEMALE, *NEUTRAL)}
+STREETS = ("Street", "St", "Avenue", "Ave", "Road", "Rd", "Lane", "Ln", "Drive", "Boulevard", "Blvd", "Square", "Court")
 SYLLABLES = {
     "latin": ("ba", "de", "fi", "go", "ka", "le", "mi", "no", "pa", "re", "si", "to", "va", "zu", "lan", "mer"),
     "cyrillic": ("ба", "ве", "го", "да", "зи", "ка", "ле", "ми", "но", "ра", "се", "то", "лан", "мир", "вор", "нел"),
@@ -50,11 +63,15 @@ ENDINGS = {
 }
 
 _NAME = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_ANY_TITLE = (*MALE, *FEMALE, *NEUTRAL)
+_WRITTEN = sorted({x for t in _ANY_TITLE for x in (t, t.upper(), t.capitalize(), t.lower()) if x not in NOT_IN_SMALL})
+_TITLED = rf"(?<!\w)(?=[{''.join(sorted({t[0] for t in _WRITTEN}))}])({'|'.join(map(re.escape, _WRITTEN))})\.? "
 #: Kind, what a text must hold for the pattern to be tried at all, and the pattern; the first to match a place has it.
 PATTERNS = [
     ("email", "@", re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")),
     ("secret", "=", re.compile(r"(?i)(?<![\w])(?:password|passwd|pwd|secret|api[_-]?key|token)\s*=\s*[\"']?([^\s\"',;]{4,})")),
     ("secret", ":", re.compile(r"(?i)(?<![\w])(?:password|passwd|pwd|secret|api[_-]?key|token)[\"']?\s*:\s*[\"']?([^\s\"',;]{4,})")),
+    ("secret", "earer ", re.compile(r"(?<!\w)[Bb]earer ([A-Za-z0-9._~+/=-]{16,})")),
     ("key", "A", re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)([0-9A-Z]{16})(?![A-Za-z0-9])")),
     ("hex", None, re.compile(r"(?<![0-9A-Za-z])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![0-9A-Za-z])")),
     ("iban", None, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
@@ -62,9 +79,11 @@ PATTERNS = [
     ("card", None, re.compile(r"(?<![\w.])(?:[2-6][0-9]{3}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7})(?![\w]|\.[0-9])")),
     ("ssn", "-", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")),
     ("phone", None, re.compile(r"(?<![\w+.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-][0-9]{3,4}(?![\w-]|\.[0-9])")),
-    ("name", None, re.compile(rf"(?<!\w)({'|'.join(map(re.escape, (*MALE, *FEMALE, *NEUTRAL)))})\.? ((?:{_NAME})(?: (?:{_NAME}))?)")),
+    ("birthdate", None, re.compile(r"(?i)(?<!\w)(?:born(?: on)?|date of birth|birth ?date|dob)[:=]? ?([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./-])[0-9]{1,2}\2[0-9]{4})(?![0-9])")),
+    ("address", None, re.compile(rf"(?<![\w.])([0-9]{{1,5}} [A-Z][a-z]+(?: [A-Z][a-z]+){{0,2}}) (?:{'|'.join(STREETS)})(?!\w)")),
+    ("name", None, re.compile(rf"{_TITLED}((?:{_NAME})(?: (?!(?:{'|'.join(map(re.escape, _WRITTEN))})(?!\w))(?:{_NAME}))?)")),
 ]
-_TITLES = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, (*MALE, *FEMALE, *NEUTRAL)))})\.? ")
+_TITLES, _WORDS = re.compile(_TITLED), re.compile(_NAME)
 _DIGITS = re.compile(r"[0-9]")
 MENTIONS = T.ArrayType(T.StructType().add("kind", "string").add("entity", "string").add("start", "integer").add("stop", "integer"))
 #: Kinds of which only the digits count.
@@ -76,8 +95,35 @@ def _script(word: str) -> str:
     return "cyrillic" if 0x400 <= first < 0x530 else "greek" if 0x370 <= first < 0x400 else "latin"
 
 
+_GENDERS = {t.lower(): g for g, titles in (("m", MALE), ("f", FEMALE)) for t in titles}
+
+
 def _gender(title: str) -> str:
-    return "m" if title in MALE else "f" if title in FEMALE else "n"
+    return _GENDERS.get(title.lower(), "n")
+
+
+def _may_name(word: str) -> bool:
+    return word[0].isupper() and word.lower() not in NOT_NAMES
+
+
+def _without_s(word: str) -> str:
+    """A name without the ending of the possessive."""
+    return word[:-2] if word[-2:] in ("'s", "’s") else word
+
+
+def _elsewhere(text: str, named: list[tuple[str, str, int, int]]) -> list[tuple[str, str, int, int]]:
+    """Every word of the text, with a capital first, that is one of the names found in it; of a name's kinds the first counts."""
+    kinds: dict[str, str] = {}
+    for kind, entity, _, _ in named:
+        kinds.setdefault(entity, kind)
+    found = []
+    for m in _WORDS.finditer(text):
+        if m[0][0].isupper():
+            for word in {m[0], _without_s(m[0])}:
+                if kind := kinds.get(word.lower()):
+                    found.append((kind, word.lower(), m.start(), m.start() + len(word)))
+                    break
+    return found
 
 
 def mentions_of(text: str | None) -> list[tuple[str, str, int, int]]:
@@ -92,25 +138,31 @@ def mentions_of(text: str | None) -> list[tuple[str, str, int, int]]:
             if kind == "name":
                 at = m.start(2)
                 words = m[2].split(" ")
-                for k, word in enumerate(words):
-                    if not word[0].isupper():
+                for k, whole in enumerate(words):
+                    if not _may_name(whole):
                         break
-                    last = k == len(words) - 1 or not words[k + 1][0].isupper()
+                    word = _without_s(whole)
+                    last = k == len(words) - 1 or not _may_name(words[k + 1])
                     part = "last" if last else f"first-{_gender(m[1])}"
                     found.append((f"name-{part}-{_script(word)}", word.lower(), at, at + len(word)))
-                    at += len(word) + 1
+                    at += len(whole) + 1
                 continue
-            a, b = m.span(m.lastindex or 0)
+            a, b = m.span(1 if m.lastindex else 0)
             entity = re.sub(r"[^0-9]", "", text[a:b]) if kind in _BY_DIGITS else text[a:b].lower() if kind == "email" else text[a:b].replace(" ", "") if kind == "iban" else text[a:b]
             if kind == "card" and (len(entity) < 13 or _luhn(entity)) or kind == "phone" and not 7 <= len(entity) <= 15:
                 continue
             found.append((kind, entity, a, b))
+    if named := [m for m in found if m[0].startswith("name-")]:
+        found += _elsewhere(text, named)
     taken: list[tuple[str, str, int, int]] = []
+    starts: list[int] = []
     order = {k: n for n, (k, _, _) in enumerate(PATTERNS)}
     for m in sorted(found, key=lambda m: (order[m[0].split("-")[0]], m[2])):
-        if all(m[3] <= t[2] or t[3] <= m[2] for t in taken):
-            taken.append(m)
-    return sorted(taken, key=lambda m: m[2])
+        k = bisect.bisect_left(starts, m[3])  # those before k start before m ends
+        if not k or taken[k - 1][3] <= m[2]:
+            taken.insert(k, m)
+            starts.insert(k, m[2])
+    return taken
 
 
 @cache
@@ -176,6 +228,8 @@ def surrogate(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         return entity[: max(0, len(entity) - 10)] + "".join(str(2 + draw.below(8)) if k == 0 else str(draw.below(10)) for k in range(min(10, len(entity))))
     if kind == "iban":
         return entity[:2] + draw.alike(entity[2:])
+    if kind == "birthdate":  # a day that is right in either order of day and month
+        return re.sub("[0-9]+", lambda m: str(1930 + draw.below(80)) if len(m[0]) == 4 else f"{1 + draw.below(9 if len(m[0]) == 1 else 12):0{len(m[0])}d}", entity)
     if kind.startswith("name-"):
         _, part, *rest = kind.split("-")
         script, gender = rest[-1], rest[0] if part == "first" else "n"
@@ -187,7 +241,7 @@ def numbered(kind: str, entity: str, key: bytes, number: int) -> str:
     """A surrogate that no other number of the kind gives, whatever the entity.
 
     Keys, hex strings, IBANs, cards and SSNs keep their form. Others widen: a
-    secret by ``WIDE`` digits (it is these alone if no character has another to stand for it), a mail's local part to a letter and as many, a
+    secret, an address and a birth date by ``WIDE`` digits (a secret is these alone if no character has another to stand for it), a mail's local part to a letter and as many, a
     phone number to 15 digits, an IP to octets of any length, a name to ten
     syllables. Where a form's own numbers end, digits are 40, an IP is IPv6 and
     a name has as many syllables as it takes.
@@ -245,14 +299,6 @@ def rendered(kind: str, mention: str, made: str) -> str:
     return made.upper() if kind == "email" and mention.isupper() else made
 
 
-def has_entities(text: Column) -> Column:
-    @F.pandas_udf("boolean")
-    def any_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([bool(mentions_of(t)) for t in texts], dtype=bool)
-
-    return any_of(text)
-
-
 @F.pandas_udf(MENTIONS)
 def _mentions(texts: pd.Series) -> pd.Series:
     names = ("kind", "entity", "start", "stop")
@@ -310,16 +356,17 @@ def anonymized(docs: DataFrame, key: bytes) -> DataFrame:
     """``(row, text, n_entities)``: each document's columns as a struct, its text with surrogates, and how many it has.
 
     NULL, empty and clean texts stay as they are. Repeated rows and ids are
-    replaced row by row, equal entities alike everywhere. Other columns are
+    replaced row by row, equal entities alike everywhere; whether a name without
+    a title is one depends on its own text alone. Other columns are
     carried; no rows give no rows. The same key gives the same surrogates on the
-    same corpus.
+    same corpus. Texts are searched once, and what was found is stored with them.
     """
-    whole = docs.select(as_row(docs.columns), F.col("text").alias("text"))
-    flagged = whole.withColumn("has", has_entities(F.col("text")))
-    found = stored(whole.withColumn("mentions", _mentions("text")).where(F.size("mentions") > 0).withColumn("place", F.monotonically_increasing_id()), "mentions")
+    whole = docs.select(as_row(docs.columns), _mentions("text").alias("mentions"), F.monotonically_increasing_id().alias("place"))
+    searched = stored(whole, "mentions")
+    found = searched.where(F.size("mentions") > 0)
     each = found.select("place", F.explode("mentions").alias("m")).select("place", "m.kind", "m.entity").distinct()
     made = surrogates(stored(each.select("kind", "entity").distinct(), "entities"), key)
     by_place = each.join(made, ["kind", "entity"]).groupBy("place").agg(F.collect_list(F.struct("kind", "entity", "surrogate")).alias("made"))
-    replaced = found.join(by_place, "place").select("row", _replaced("text", "mentions", "made").alias("text"), F.size("mentions").cast("long").alias("n_entities"))
-    clean = flagged.where(~F.coalesce("has", F.lit(False))).select("row", "text", F.lit(0).cast("long").alias("n_entities"))
+    replaced = found.join(by_place, "place").select("row", _replaced("row.text", "mentions", "made").alias("text"), F.size("mentions").cast("long").alias("n_entities"))
+    clean = searched.where(F.size("mentions") == 0).select("row", F.col("row.text").alias("text"), F.lit(0).cast("long").alias("n_entities"))
     return clean.unionByName(replaced)
