@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tezgah.llm import chat, components, decontaminate, line_dedup, lm_score, packing, pii, quality_lines, simhash, token_files, tokens, toxicity
@@ -337,6 +338,17 @@ def test_losses_match_brute_force(spark):
     assert max(got[k].score for k in range(0, 12, 2)) < min(got[k].score for k in range(1, 12, 2))
 
 
+def test_separators_are_looked_up_and_not_searched_for(spark):
+    words = ["|", "::", "--", "\u203a", "|\u2028", "::\x85", "a", "||", "|a", "-", "\u2028"]
+    lines = spark.createDataFrame([(i, f"{w} {w}") for i, w in enumerate(words)], "i long, line string")
+    out = lines.select("i", quality_lines.line_fails(F.col("line")).alias("rule"))
+    navigation = {r.i for r in out.collect() if r.rule == "navigation"}
+    assert navigation == {i for i, w in enumerate(words) if re.fullmatch("([|>\u00bb\u203a\u2022\u00b7/]|::|--)[\x85\u2028\u2029]?", w)}
+    text = spark.createDataFrame([("a\u00e9 \t|\n\n \U0001f600b ",), ("",), (None,)], "text string").select(quality_lines.base_measures(F.col("text")).alias("b"))
+    assert [r.b.word_chars for r in text.collect()] == [5, 0, 0]
+    assert "::|--" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rows_that_share_an_id_are_documents_of_their_own(spark):
     near, far, other = prose(31, 60), prose(32, 60), prose(33, 60)
     schema = "doc_id long, text string"

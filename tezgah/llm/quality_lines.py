@@ -30,7 +30,9 @@ MAX_SYMBOLS = 10
 SENTENCE_END = r"[.!?:;。！？…]"
 CLOSED = SENTENCE_END + "[\"'”’»)\\]]*$"
 WITHIN = SENTENCE_END + "[\"'”’»)\\]]*" + BLANK
-SEPARATOR = r"^([|>»›•·/]|::|--)$"
+SEPARATORS = ("|", ">", "»", "›", "•", "·", "/", "::", "--")
+#: Other ends of a line that a word may hold behind a separator.
+LINE_ENDS = ("", "\x85", "\u2028", "\u2029")
 BOILERPLATE = (
     r"(?i)(cookie|javascript|lorem ipsum|privacy policy|terms of (use|service)|all rights reserved|"
     r"copyright (\(c\)|©|[0-9]{4})|licen[sc]ed under|released under the|newsletter|(sign|log) ?(in|up) (to|now|here))"
@@ -76,7 +78,7 @@ def base_measures(text: Column) -> Column:
         _words(text),
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"),
-            F.length(F.regexp_replace(text, BLANK + "+", "")).cast("long").alias("word_chars"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.regexp_replace(text, SYMBOL, ""))).cast("long").alias("n_symbols"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
             _repeated(w).alias("n_repeat_words"),
@@ -88,7 +90,7 @@ def line_fails(line: Column) -> Column:
     """The rule that a line with words fails, or NULL."""
 
     def rule(words: Column) -> Column:
-        separators = F.size(F.filter(words, lambda w: w.rlike(SEPARATOR)))
+        separators = F.size(F.filter(words, lambda w: w.isin([s + e for s in SEPARATORS for e in LINE_ENDS])))
         end = F.btrim(line, F.lit(BLANKS))
         symbols = F.length(end) - F.length(F.regexp_replace(end, SYMBOL, ""))
         return (
