@@ -33,6 +33,25 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+def test_few_versions_are_sent_and_many_joined_by_a_shuffle(spark, nothing_small, monkeypatch):
+    lines = [{"transaction_id": i, "store_id": i % 3, "product_id": i % 2} for i in range(12)]
+    sides = stores(spark, ONE_STORE), products(spark, ONE_PRODUCT)
+    found = {}
+    for most, joins in ((1, 0), (0, 2)):
+        monkeypatch.setattr(lookups, "SENT_KEYS", most)
+        rows = resolve_versions(staged(spark, lines), *sides)
+        assert plan(rows).count("SortMergeJoin") == joins
+        found[most] = sorted(map(str, rows.collect()))
+    assert found[0] == found[1] and len(found[0]) == 12
+
+
+def test_lines_joined_by_product_are_not_dealt_by_product_again(spark, nothing_small, monkeypatch):
+    model = DemoModel(spark, FOLDER)
+    monkeypatch.setattr(lookups, "few", lambda df, rows=None: "store_sk" in df.columns)
+    text = plan(resolve_versions(model.stg_sales, model.store, model.product))
+    assert text.count("SortMergeJoin") == 3 and text.count("Exchange hashpartitioning") == 5
+
+
 def test_waiting_rejects_do_not_meet_in_the_task_of_their_batch(spark, nothing_small):
     log = BatchLog(spark, shared.scratch_path(spark, "rejected"))
     store = RejectStore(log)
