@@ -59,3 +59,10 @@ def test_waiting_rejects_do_not_meet_in_the_task_of_their_batch(spark, nothing_s
         batch.count(rejected=store.write(staged(spark, [{}, {"line_number": 2}]).withColumn("reject_reason", F.lit("no_store")), batch.id))
     waiting = store.waiting()
     assert waiting.count() == 2 and "SortMergeJoin" not in plan(waiting)
+
+
+def test_checked_sales_and_results_are_not_written_for_one_reader(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "stored", lambda df, name: written.append(name) or df)
+    frames = queries._checked(DemoModel(spark, FOLDER))
+    assert len(frames) == 20 and not written
