@@ -52,6 +52,15 @@ def test_lines_joined_by_product_are_not_dealt_by_product_again(spark, nothing_s
     assert text.count("SortMergeJoin") == 3 and text.count("Exchange hashpartitioning") == 5
 
 
+def test_daily_kpis_are_dealt_once_a_side(spark, nothing_small, kpi):
+    lines = staged(spark, [{"transaction_id": i} for i in range(3)]).withColumns(
+        {"store_sk": F.lit(11).cast("bigint"), "customer_sk": F.col("customer_id")}
+        | {c: F.col("unit_cost").cast("decimal(14,2)") for c in ("gross_sales_amount", "net_sales_amount", "cogs_amount", "gross_margin_amount")}
+    )
+    text = plan(kpi(lines.repartition(2), customers(spark, [5])))
+    assert not [x for x in text.split("Exchange hashpartitioning(")[1:] if "transaction_id" in x.split(")")[0]]
+
+
 def test_waiting_rejects_do_not_meet_in_the_task_of_their_batch(spark, nothing_small):
     log = BatchLog(spark, shared.scratch_path(spark, "rejected"))
     store = RejectStore(log)
