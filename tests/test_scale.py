@@ -61,6 +61,14 @@ def test_daily_kpis_are_dealt_once_a_side(spark, nothing_small, kpi):
     assert not [x for x in text.split("Exchange hashpartitioning(")[1:] if "transaction_id" in x.split(")")[0]]
 
 
+def test_the_stock_is_dealt_by_product_for_its_fold_and_its_prices(spark, nothing_small, monkeypatch):
+    monkeypatch.setattr(lookups, "few", lambda df, rows=None: "store_sk" in df.columns)
+    sales = staged(spark, [{}]).withColumns({"store_sk": F.lit(11).cast("bigint"), "product_sk": F.lit(21).cast("bigint")})
+    sides = stores(spark, ONE_STORE), products(spark, ONE_PRODUCT)
+    rows = valued(stock_states(sales, *sides, [date(2024, 1, 31)]), *sides)
+    assert rows.count() == 1 and not [x for x in plan(rows).split("Exchange hashpartitioning(")[1:] if x.startswith("store_id")]
+
+
 def test_waiting_rejects_do_not_meet_in_the_task_of_their_batch(spark, nothing_small):
     log = BatchLog(spark, shared.scratch_path(spark, "rejected"))
     store = RejectStore(log)
