@@ -52,6 +52,7 @@ def test_lines_joined_by_product_are_not_dealt_by_product_again(spark, nothing_s
     assert text.count("SortMergeJoin") == 3 and text.count("Exchange hashpartitioning") == 5
 
 
+@pytest.mark.parametrize("kpi", [lambda s, c: daily_store_kpi(s, c), lambda s, c: pos_daily_kpi(s)])
 def test_daily_kpis_are_dealt_once_a_side(spark, nothing_small, kpi):
     lines = staged(spark, [{"transaction_id": i} for i in range(3)]).withColumns(
         {"store_sk": F.lit(11).cast("bigint"), "customer_sk": F.col("customer_id")}
@@ -83,3 +84,20 @@ def test_checked_sales_and_results_are_not_written_for_one_reader(spark, monkeyp
     monkeypatch.setattr(queries, "stored", lambda df, name: written.append(name) or df)
     frames = queries._checked(DemoModel(spark, FOLDER))
     assert len(frames) == 20 and not written
+
+
+def test_more_rows_get_more_and_not_larger_tasks(spark):
+    number, size = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {key: spark.conf.get(key, None) for key in (number, size)}
+    try:
+        spark.conf.set(number, "8")
+        spark.conf.unset(size)
+        for rows, partitions in ((0, 8), (8 * shared.ROWS_A_PARTITION, 8), (8 * shared.ROWS_A_PARTITION + 1, 9), (10**12, shared.MOST_PARTITIONS)):
+            shared.sized_tasks(spark, rows)
+            assert int(spark.conf.get(number)) == partitions and spark.conf.get(size) == str(shared.TASK_BYTES)
+        spark.conf.set(size, "4KB")
+        shared.sized_tasks(spark, 1)
+        assert spark.conf.get(size) == "4KB"
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
