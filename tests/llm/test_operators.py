@@ -338,6 +338,32 @@ def test_losses_match_brute_force(spark):
     assert max(got[k].score for k in range(0, 12, 2)) < min(got[k].score for k in range(1, 12, 2))
 
 
+def test_losses_do_not_depend_on_what_is_sent(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "FAST", 10)
+    rng = np.random.default_rng(3)
+    rows = [(k % 37, " ".join(f"w{x}" for x in rng.zipf(1.3, 60) % 400)) for k in range(80)] + [(None, "w1 w2 w3"), (5, None), (6, "unseen \u00e9\u00e9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3, "text")
+    target = spark.createDataFrame([(k,) for k in range(0, 37, 3)], "doc_id long")
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.target_loss or 0, r.background_loss or 0)
+    whole, *others = [
+        sorted(lm_score.scored(docs, lm_score.train(docs, target, **sent)).collect(), key=key)
+        for sent in ({}, {"sent_words": 20, "sent_bigrams": 30}, {"sent_words": 20, "sent_bigrams": 0, "sent_checksums": 5}, {"sent_words": 0, "sent_checksums": 0})
+    ]
+    assert len(whole) == len(rows)
+    for other in others:
+        for a, b in zip(whole, other, strict=True):
+            assert a[:2] == b[:2] and a[2:] == (pytest.approx(b[2:]) if b.n_tokens else b[2:])
+
+
+def test_rare_words_and_bigrams_count_in_a_large_corpus(spark):
+    common = " ".join(["a b c d"] * 25_000)
+    docs = spark.createDataFrame([(k, common) for k in range(12)] + [(90, "rare pair"), (91, "rare pair"), (92, "rare other"), (93, "pair rare")], "doc_id long, text string")
+    target = spark.createDataFrame([(k,) for k in (*range(11), 90, 91)], "doc_id long")
+    got = {r.doc_id: r for r in lm_score.scored(docs, lm_score.train(docs, target)).collect()}
+    # 1.1 million tokens of the target: by a share of them, two occurrences would be none
+    assert got[90].target_loss == got[91].target_loss < got[93].target_loss - 1
+
+
 def test_separators_are_looked_up_and_not_searched_for(spark):
     words = ["|", "::", "--", "\u203a", "|\u2028", "::\x85", "a", "||", "|a", "-", "\u2028"]
     lines = spark.createDataFrame([(i, f"{w} {w}") for i, w in enumerate(words)], "i long, line string")
