@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tezgah.operators.lookups import _spread, point_in_time
 from tezgah.plans.kpi import KPI, daily_store_kpi
 from tezgah.plans.marts import category_performance, customer_rfm, sales_daily, store_kpi_monthly
+from tezgah.plans.publish import report_views
 from tezgah.plans.sales import SALES
+from tezgah.queries import QUERIES
 from tezgah.sources.demo_model import AS_OF, DemoModel
 from tezgah.sources.warehouse import Warehouse
 
@@ -171,3 +173,24 @@ def test_the_monthly_report_prunes_months(spark, model):
 def test_the_category_report_scans_the_lines_once(model):
     text = plan(category_performance(model.sales, model.calendar, model.store, model.product, model.category, model.region))
     assert sum("lineitem.parquet" in line for line in text.splitlines()) == 1
+
+
+def test_a_published_report_sends_its_few_stores(spark, model):
+    wh = Warehouse(spark)
+    wh.append(SALES, model.sales)
+    tables = {"date": model.calendar, "store": model.store, "product": model.product, "product_category": model.category, "customer": model.customer, "campaign": model.campaign, "region": model.region}
+    for name, frame in tables.items():
+        wh.replace(f"dim.{name}", frame)
+    key, default = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "1")
+    try:
+        text = plan(report_views(wh, AS_OF, "2002-01-01 00:00:00")["v_sales_daily"])
+    finally:
+        spark.conf.set(key, default)
+    joins = [line for line in text.splitlines() if "Join [store_sk" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
+def test_the_published_query_loads_without_a_written_fact(spark, monkeypatch):
+    monkeypatch.setattr(DemoModel, "stored_sales", property(lambda m: pytest.fail("the fact is written before it is loaded")))
+    assert QUERIES["mart_published"](spark, FOLDER).count()

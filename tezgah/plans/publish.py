@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
+from tezgah.operators.lookups import few
 from tezgah.plans import marts
 from tezgah.plans.batches import LOG, BatchLog
 from tezgah.plans.inventory import INVENTORY
@@ -23,7 +24,7 @@ class Reports(Mapping):
     """The six views by name, each built from the tables as they stand when it is asked for.
 
     ``as_of`` is today for recency, ``now`` for running batches. Nothing runs before
-    a view is asked for; a view that needs a job of its own (RFM) runs it then.
+    a view is asked for; a view that needs a job of its own (RFM, daily sales for the number of stores) runs it then.
     """
 
     def __init__(self, wh: Warehouse, as_of: date, now: str, history: str = "current", prefix: str = "mart_"):
@@ -44,7 +45,7 @@ class Reports(Mapping):
         match name:
             case "v_sales_daily":
                 tables = context("date", "store", "product", "product_category", "customer", "campaign", "region")
-                return marts.sales_daily(read(SALES), *tables, history)
+                return marts.sales_daily(read(SALES), *tables, history, send_stores=few(tables[1]))
             case "v_store_kpi_monthly":
                 return marts.store_kpi_monthly(read(KPI), *context("date", "store", "region"), history)
             case "v_inventory_alert":
