@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import ONE_PRODUCT, ONE_STORE, customers, products, staged, stores
 from tezgah import queries
-from tezgah.operators import lookups
+from tezgah.operators import dedupe, lookups
 from tezgah.plans.batches import BatchLog
 from tezgah.plans.inventory import stock_states, valued
 from tezgah.plans.kpi import daily_store_kpi, pos_daily_kpi
@@ -70,6 +70,30 @@ def test_the_stock_is_dealt_by_product_for_its_fold_and_its_prices(spark, nothin
     assert rows.count() == 1 and not [x for x in plan(rows).split("Exchange hashpartitioning(")[1:] if x.startswith("store_id")]
 
 
+@pytest.mark.parametrize("sent", [100, 0])
+def test_stored_lines_meet_the_fact_by_hashes_and_only_copies_are_shuffled(spark, nothing_small, monkeypatch, sent):
+    monkeypatch.setattr(dedupe, "SENT_HASHES", sent)
+    rows = [(1, "a", 5), (1, "a", 4), (2, "a", 1), (3, None, 2), (3, None, 1), (4, "b", 7), (None, "b", 3)]
+    lines = shared.stored(spark.createDataFrame(rows, "k int, j string, o int"), "lines")
+    there = spark.createDataFrame([(2, "a"), (3, None), (9, "z"), (9, "z"), (None, "b")], "k bigint, j string")
+    got = dedupe.insert_skip_conflicts(there, lines, ["k", "j"], ["o"], in_storage=True)
+    want = dedupe.insert_skip_conflicts(there, lines, ["k", "j"], ["o"])
+    assert plan(got).count("SortMergeJoin") == 1  # of the copies, or if they are many of all lines
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.schema == want.schema and got.count() == 4
+
+
+def test_drops_are_written_once_and_the_middle_one_twice(spark, monkeypatch):
+    model, seen = DemoModel(spark, FOLDER), []
+    monkeypatch.setattr(queries, "stored", lambda *_: 1 / 0)
+    monkeypatch.setattr(queries, "stream_sales", lambda spark, landing, *_: seen.append(spark.read.parquet(landing).count()))
+    queries._streamed(model)
+    moment = F.col("transaction_datetime")
+    counts = [model.stg_sales.filter((moment > F.lit(a)) & (moment <= F.lit(b))).count()
+              for a, b in ((date(1990, 1, 1), date(1997, 6, 30)), (date(1997, 6, 30), date(1999, 12, 31)), (date(1999, 12, 31), date(2002, 1, 1)))]
+    assert seen == [counts[0], counts[0] + 2 * counts[1], counts[0] + 2 * counts[1] + counts[2]] and all(counts)
+
+
 def test_waiting_rejects_do_not_meet_in_the_task_of_their_batch(spark, nothing_small):
     log = BatchLog(spark, shared.scratch_path(spark, "rejected"))
     store = RejectStore(log)
