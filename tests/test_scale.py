@@ -94,6 +94,16 @@ def test_drops_are_written_once_and_the_middle_one_twice(spark, monkeypatch):
     assert seen == [counts[0], counts[0] + 2 * counts[1], counts[0] + 2 * counts[1] + counts[2]] and all(counts)
 
 
+def test_the_full_run_loads_lines_as_they_are_joined(spark, monkeypatch):
+    loads = []
+    monkeypatch.setattr(queries, "stored", lambda *_: 1 / 0)
+    monkeypatch.setattr(queries.Jobs, "incremental_sales", lambda self, staged, *_: loads.append(staged))
+    monkeypatch.setattr(queries.Jobs, "scd2", lambda *_, **__: None)
+    monkeypatch.setattr(queries.Jobs, "scd1", lambda *_, **__: None)
+    queries.etl_full_run(model := DemoModel(spark, FOLDER))
+    assert loads == [model.stg_sales] * 3
+
+
 def test_waiting_rejects_do_not_meet_in_the_task_of_their_batch(spark, nothing_small):
     log = BatchLog(spark, shared.scratch_path(spark, "rejected"))
     store = RejectStore(log)
