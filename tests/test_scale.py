@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from tests.frames import ONE_PRODUCT, ONE_STORE, customers, products, staged, stores
 from tezgah import queries
 from tezgah.operators import dedupe, lookups
+from tezgah.plans import sales
 from tezgah.plans.batches import BatchLog
-from tezgah.plans.inventory import stock_states, valued
+from tezgah.plans.inventory import INVENTORY, stock_states, valued
+from tezgah.plans.jobs import Jobs
 from tezgah.plans.kpi import daily_store_kpi, pos_daily_kpi
 from tezgah.plans.rejects import RejectStore
-from tezgah.plans.sales import resolve_versions
-from tezgah.sources import shared
+from tezgah.plans.sales import SALES, resolve_versions
+from tezgah.sources import demo_model, shared
 from tezgah.sources.demo_model import DemoModel
+from tezgah.sources.warehouse import Warehouse
 
 FOLDER = "/root/testdata/sf0.001"
 THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
@@ -64,9 +67,9 @@ def test_daily_kpis_are_dealt_once_a_side(spark, nothing_small, kpi):
 
 def test_the_stock_is_dealt_by_product_for_its_fold_and_its_prices(spark, nothing_small, monkeypatch):
     monkeypatch.setattr(lookups, "few", lambda df, rows=None: "store_sk" in df.columns)
-    sales = staged(spark, [{}]).withColumns({"store_sk": F.lit(11).cast("bigint"), "product_sk": F.lit(21).cast("bigint")})
+    lines = staged(spark, [{}]).withColumns({"store_sk": F.lit(11).cast("bigint"), "product_sk": F.lit(21).cast("bigint")})
     sides = stores(spark, ONE_STORE), products(spark, ONE_PRODUCT)
-    rows = valued(stock_states(sales, *sides, [date(2024, 1, 31)]), *sides)
+    rows = valued(stock_states(lines, *sides, [date(2024, 1, 31)]), *sides)
     assert rows.count() == 1 and not [x for x in plan(rows).split("Exchange hashpartitioning(")[1:] if x.startswith("store_id")]
 
 
@@ -104,6 +107,55 @@ def test_the_full_run_loads_lines_as_they_are_joined(spark, monkeypatch):
     assert loads == [model.stg_sales] * 3
 
 
+def test_a_query_frees_the_shuffles_of_its_writes_and_leaves_the_session_as_it_was(spark, monkeypatch):
+    before, seen = spark.conf.get(shared.FREED), []
+
+    def some_rows(m):
+        seen.append(m.spark.conf.get(shared.FREED))
+        return m.spark.range(1).toDF("n")
+
+    queries._registered(some_rows)
+    assert queries.QUERIES.pop("some_rows")(spark, FOLDER).count() == 1
+    assert seen == ["true"] and spark.conf.get(shared.FREED) == before
+
+
+def test_lines_are_dealt_by_month_before_their_measures_are_added(spark, monkeypatch):
+    load = DemoModel(spark, FOLDER).load()
+    frame = type(load.lines)
+    dealt, real = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, name, *by: dealt.append(self.columns) or real(self, name, *by))
+    narrow, wide = Warehouse(spark), Warehouse(spark)
+    found = narrow.append(SALES, load.lines, finish=load.finish)
+    assert wide.append(SALES, load.rows) == found and found["rows"] > 0
+    assert "gross_sales_amount" not in dealt[0] and "gross_sales_amount" in dealt[1]
+    rows = [sorted(map(str, wh.read(SALES).drop("etl_loaded_at").collect())) for wh in (narrow, wide)]
+    assert rows[0] == rows[1]
+
+
+def test_stock_states_are_written_once_and_a_month_is_not_dealt(spark, monkeypatch):
+    jobs = Jobs(Warehouse(spark))
+    sides = {"dim.store": stores(spark, ONE_STORE), "dim.product": products(spark, ONE_PRODUCT)}
+    for name, frame in sides.items():
+        jobs.wh.replace(name, frame)
+    lines = staged(spark, [{"transaction_id": i} for i in range(4)]).withColumns(
+        {"store_sk": F.lit(11).cast("bigint"), "product_sk": F.lit(21).cast("bigint")}
+    )
+    jobs.wh.append(SALES, lines)
+    monkeypatch.setattr("tezgah.plans.jobs.stored", lambda *_: 1 / 0)
+    monkeypatch.setattr(type(lines), "hint", lambda *_: 1 / 0)
+    jobs.refresh_inventory([date(2024, 1, 31)])
+    row = jobs.wh.read(INVENTORY).first()
+    assert (row["date_id"], row["store_sk"], row["product_sk"], row["stock_qty"]) == (20240131, 11, 21, -4)
+    assert jobs.stock.before(date(2024, 2, 1)).state.count() == 1
+
+
+def test_the_stored_fact_meets_its_copies_by_hashes(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(demo_model, "stored", lambda df, name: written.append(name) or df)
+    monkeypatch.setattr(sales, "stored", lambda df, name: written.append(name) or df)
+    assert DemoModel(spark, FOLDER).stored_sales.count() and written == ["resolved", "sales"]
+
+
 def test_waiting_rejects_do_not_meet_in_the_task_of_their_batch(spark, nothing_small):
     log = BatchLog(spark, shared.scratch_path(spark, "rejected"))
     store = RejectStore(log)
