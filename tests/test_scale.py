@@ -48,6 +48,17 @@ def test_few_versions_are_sent_and_many_joined_by_a_shuffle(spark, nothing_small
     assert found[0] == found[1] and len(found[0]) == 12
 
 
+def test_a_wide_side_is_sent_for_fewer_rows(spark, nothing_small, monkeypatch):
+    side = spark.range(4).selectExpr("id AS a", "id AS b", "id AS c", "id AS d")
+    facts = spark.range(4).toDF("k")
+    for most, joins in ((16, 0), (15, 1)):
+        monkeypatch.setattr(lookups, "SENT_VALUES", most)
+        joined = facts.join(lookups.sent_if_few(side, side), F.col("k") == F.col("a"))
+        assert plan(joined).count("SortMergeJoin") == joins and joined.count() == 4
+    narrow = side.select("a")
+    assert "SortMergeJoin" not in plan(facts.join(lookups.sent_if_few(narrow, side), F.col("k") == F.col("a")))
+
+
 def test_lines_joined_by_product_are_not_dealt_by_product_again(spark, nothing_small, monkeypatch):
     model = DemoModel(spark, FOLDER)
     monkeypatch.setattr(lookups, "few", lambda df, rows=None: "store_sk" in df.columns)
