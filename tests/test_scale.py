@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.frames import ONE_PRODUCT, ONE_STORE, customers, products, staged, stores
 from tezgah import queries
-from tezgah.operators import dedupe, lookups
+from tezgah.operators import dedupe, lookups, quality
 from tezgah.plans import sales
 from tezgah.plans.batches import BatchLog
 from tezgah.plans.inventory import INVENTORY, stock_states, valued
@@ -183,6 +183,22 @@ def test_checked_sales_and_results_are_not_written_for_one_reader(spark, monkeyp
     assert len(frames) == 20 and not written
 
 
+def test_keys_of_facts_are_counted_one_fact_after_the_other(spark, monkeypatch):
+    counted = []
+    monkeypatch.setattr(quality, "cut", lambda df: counted.append(df) or shared.cut(df))
+    facts = {
+        SALES: "1L AS sales_tx_sk, id AS transaction_id, 1 AS line_number, 20240101 AS date_id, 'POS' AS source_system",
+        INVENTORY: "id AS inv_sk, 20240101 AS date_id, 1L AS store_sk, 1L AS product_sk",
+    }
+    frames = {name: spark.range(3).selectExpr(*columns.split(", ")) for name, columns in facts.items()}
+    frames["dict.d_currency"] = spark.sql("SELECT 'TRY' AS currency_code")
+    found = quality.duplicate_keys(frames, apart=set(facts))
+    assert len(counted) == 2
+    got = {(r["table_name"], r["rule"]): r["violations"] for r in found.collect()}
+    assert got[SALES, "sales_tx_sk,date_id"] == got[INVENTORY, "date_id,store_sk,product_sk"] == 2 and sum(got.values()) == 4
+    assert len(got) == 5 and got == {(r["table_name"], r["rule"]): r["violations"] for r in quality.duplicate_keys(frames).collect()}
+
+
 def test_more_rows_get_more_and_not_larger_tasks(spark):
     number, size = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     before = {key: spark.conf.get(key, None) for key in (number, size)}

@@ -8,7 +8,7 @@ zero where it holds.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tezgah.functions.literals import literal_rows
 from tezgah.operators.lookups import OPEN_END
 from tezgah.schemas import TABLES
+from tezgah.sources.shared import cut
 
 Frames = Mapping[str, DataFrame]
 
@@ -55,15 +56,19 @@ def _every(found: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
     return filled.select("table_name", "rule", F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations"))
 
 
-def duplicate_keys(frames: Frames) -> DataFrame:
-    """Rows beyond the first per primary or unique key; one scan and one fold per table."""
+def duplicate_keys(frames: Frames, apart: Collection[str] = ()) -> DataFrame:
+    """Rows beyond the first per primary or unique key; one scan and one fold per table.
+
+    Tables of ``apart`` are counted at once, one after the other: in one query the shuffles of all would lie on disk together.
+    """
     parts, rules = [], []
     for name, df in frames.items():
         keys = {",".join(key): key for key in (TABLES[name].primary_key, *TABLES[name].unique)}
         repeated = _counted(df, {rule: _value(key) for rule, key in keys.items()}).filter("n > 1")
-        parts.append(repeated.select(F.lit(name).alias("table_name"), "rule", (F.col("n") - 1).alias("n")))
+        found = repeated.groupBy(F.lit(name).alias("table_name"), "rule").agg(F.sum(F.col("n") - 1).alias("violations"))
+        parts.append(cut(found) if name in apart else found)
         rules += [(name, rule) for rule in keys]
-    return _every(_union(parts).groupBy("table_name", "rule").agg(F.sum("n").alias("violations")), rules)
+    return _every(_union(parts), rules)
 
 
 def orphans(frames: Frames) -> DataFrame:
